@@ -61,6 +61,10 @@ def domain_parts(code: Column) -> Column:
     return F.split(code, r"\.")
 
 
+def first_domain_part(code: Column) -> Column:
+    return F.substring_index(code, ".", 1)
+
+
 def language_name(code: Column) -> Column:
     """Language of a two-letter code from a constant map; NULL when unknown."""
     pairs = [F.lit(text) for item in LANGUAGES.items() for text in item]
@@ -69,7 +73,8 @@ def language_name(code: Column) -> Column:
 
 def language_dimension(spark: SparkSession) -> DataFrame:
     """The fixed code/name table (184 rows) for use in a broadcast join."""
-    return spark.createDataFrame(list(LANGUAGES.items()), "language_code string, language string")
+    rows = ", ".join(f"('{code}', '{name}')" for code, name in LANGUAGES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS languages(language_code, language)")
 
 
 def project_name(parts: Column) -> Column:

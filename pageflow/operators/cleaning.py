@@ -50,23 +50,24 @@ def quality_report(df: DataFrame) -> DataFrame:
 
 
 def drop_special_domains(df: DataFrame) -> DataFrame:
-    return df.where(~E.domain_parts(F.col("domain_code"))[0].isin(SPECIAL_DOMAINS))
+    return df.where(~E.first_domain_part(F.col("domain_code")).isin(SPECIAL_DOMAINS))
 
 
-def derive_domain(df: DataFrame, language_join: bool = False) -> DataFrame:
+def derive_domain(df: DataFrame, language_map: bool = False) -> DataFrame:
     """Adds language, project and mobile flag; drops special domains and unknown languages.
 
-    ``language_join`` looks the language up by a broadcast join with the fixed 184-row table
-    instead of a constant map; results are the same.
+    Languages are looked up by a broadcast join with the fixed 184-row table: one hash probe per
+    row. ``language_map`` indexes a constant map instead, with the same results, but Spark searches
+    such a map from its start for every row.
     """
-    rows = drop_special_domains(df).withColumn("_parts", E.domain_parts(F.col("domain_code")))
-    code, parts = F.col("_parts")[0], F.col("_parts")
-    if language_join:
-        names = F.broadcast(E.language_dimension(df.sparkSession))
-        rows = rows.join(names, code == F.col("language_code"), "inner").drop("language_code")
-    else:
+    code, parts = E.first_domain_part(F.col("domain_code")), F.col("_parts")
+    rows = drop_special_domains(df)
+    if language_map:
         rows = rows.withColumn("language", E.language_name(code)).where(F.col("language").isNotNull())
-    return rows.select(
+    else:
+        names = F.broadcast(E.language_dimension(df.sparkSession))
+        rows = rows.join(names, code == F.col("language_code")).drop("language_code")
+    return rows.withColumn("_parts", E.domain_parts(F.col("domain_code"))).select(
         *df.columns,
         "language",
         E.project_name(parts).alias("database_name"),
@@ -81,20 +82,23 @@ def split_title(df: DataFrame, normalize_underscores: bool = False) -> DataFrame
     a colon are dropped; ``normalize_underscores`` reads ``_`` in a prefix as a blank.
     """
     title = F.col("page_title")
-    at = F.instr(title, ":")
-    prefix = F.when(at > 0, F.substring(title, F.lit(1), at - 1)).otherwise(DEFAULT_NAMESPACE)
+    has_prefix, prefix = title.contains(":"), F.substring_index(title, ":", 1)
     if normalize_underscores:
         prefix = F.translate(prefix, "_", " ")
-    return df.withColumns(
-        {"namespace": prefix, "page_title": F.when(at > 0, F.substring(title, at + 1, F.length(title))).otherwise(title)}
-    ).where(F.col("namespace").isin(NAMESPACES))
+    rest = F.substring(title, F.instr(title, ":") + 1, F.length(title))
+    return df.where(~has_prefix | prefix.isin(NAMESPACES)).withColumns(
+        {
+            "namespace": F.when(has_prefix, prefix).otherwise(DEFAULT_NAMESPACE),
+            "page_title": F.when(has_prefix, rest).otherwise(title),
+        }
+    )
 
 
-def silver(df: DataFrame, language_join: bool = False, normalize_underscores: bool = False) -> DataFrame:
+def silver(df: DataFrame, language_map: bool = False, normalize_underscores: bool = False) -> DataFrame:
     """The whole cleaning step; narrow transformations only, so it never shuffles."""
     return (
         df.transform(quality_checks)
-        .transform(derive_domain, language_join)
+        .transform(derive_domain, language_map)
         .drop("total_response_size")
         .transform(split_title, normalize_underscores)
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,11 @@ class Windows:
         return day.between(F.lit(self.lbl_start), F.lit(self.lbl_end))
 
 
+def all_present(columns: Sequence[str]) -> Column:
+    """No column is NULL. Plain tests, so that Spark drops those on columns that cannot be."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def observation_rows(df: DataFrame, windows: Windows) -> DataFrame:
     """Rows of the observation window; typed literals, so partitions are pruned."""
     return df.where(windows.observed(F.col(DAY)))
@@ -145,7 +151,7 @@ def domain_entropy(
 ) -> DataFrame:
     """How evenly an entity's views spread over its domain codes, plain and scaled to 0..1."""
     v = F.col("_v")
-    per_domain = df.dropna(subset=[domain]).groupBy(*key_cols, domain).agg(F.sum("count_views").alias("_v"))
+    per_domain = df.where(F.col(domain).isNotNull()).groupBy(*key_cols, domain).agg(F.sum("count_views").alias("_v"))
     sums = per_domain.groupBy(*key_cols).agg(
         F.count("*").alias("n_domains"), F.sum(v).alias("_total"), F.sum(E.v_ln_v(v)).alias("_vlnv")
     )
@@ -173,8 +179,7 @@ def churn_labels(df: DataFrame, windows: Windows, key_cols: Sequence[str] = ENTI
     day = F.col(DAY)
     in_obs, in_lbl = windows.observed(day), windows.labelled(day)
     return (
-        df.where(in_obs | in_lbl)
-        .dropna(subset=list(key_cols))
+        df.where((in_obs | in_lbl) & all_present(key_cols))
         .groupBy(*key_cols)
         .agg(F.max(in_obs).alias("_observed"), F.max(in_lbl).alias("_alive"))
         .where("_observed")

@@ -21,9 +21,10 @@ from pageflow.functions.fixed_values import ENTITY_KEYS
 from pageflow.operators.features import (
     DAY,
     Windows,
-    last_days,
+    all_present,
     core_aggregates,
     full_aggregates,
+    last_days,
     normalized,
 )
 
@@ -110,7 +111,7 @@ def churn_datasets(
         needed = needed | w.observed(day) | w.labelled(day)
     # The envelope repeats what "needed" implies, in the plain form that prunes partitions.
     first, last = min(w.obs_start for w in windows.values()), max(w.lbl_end for w in windows.values())
-    rows = df.where(day.between(F.lit(first), F.lit(last)) & needed).dropna(subset=keys)
+    rows = df.where(day.between(F.lit(first), F.lit(last)) & needed & all_present(keys))
 
     summed = [F.sum("count_views").alias("_v")]
     if full:

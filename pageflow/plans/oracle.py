@@ -270,7 +270,7 @@ def oracle_sql() -> dict[str, str]:
         "domain_language": f"""with {PV}, {LANG}
             select domain_code, language, count(*) as n_rows
             from pv join lang on split_part(domain_code, '.', 1) = code group by all""",
-        "domain_language_join": f"""with {PV}, {LANG}
+        "domain_language_map": f"""with {PV}, {LANG}
             select domain_code, language, count(*) as n_rows
             from pv join lang on split_part(domain_code, '.', 1) = code group by all""",
         "domain_project": f"""with {PV}, {CHECKED}, {LANG}, {DOMAINED}

@@ -96,9 +96,7 @@ def max_records_per_file(spark, sf_dir):
 
 
 def gold_partitioned_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "gold")
-    tables.write_table(_churn(spark, sf_dir), path, partition_by="days_active")
-    return rounded(tables.read_table(spark, path, churn.CORE_SCHEMA))
+    return rounded(_gold(spark, sf_dir))
 
 
 def language_split(spark, sf_dir):
@@ -150,10 +148,10 @@ def domain_special_filter(spark, sf_dir):
     return cleaning.drop_special_domains(page_log(spark, sf_dir)).select("domain_code", "page_title", "count_views")
 
 
-def _per_domain(column: str, language_join: bool = False, checked: bool = True) -> Query:
+def _per_domain(column: str, language_map: bool = False, checked: bool = True) -> Query:
     def query(spark, sf_dir):
         log = page_log(spark, sf_dir)
-        rows = cleaning.derive_domain(cleaning.quality_checks(log) if checked else log, language_join)
+        rows = cleaning.derive_domain(cleaning.quality_checks(log) if checked else log, language_map)
         return rows.groupBy("domain_code", column).agg(F.count("*").alias("n_rows"))
 
     return query
@@ -303,8 +301,15 @@ def _metric(operator: Callable[..., DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(operator(_scored(_churn(spark, sf_dir))))
 
 
+def _gold(spark, sf_dir) -> DataFrame:
+    """The churn set as a written table: models read their input many times."""
+    path = scratch_path(spark, "gold")
+    tables.write_table(_churn(spark, sf_dir), path, partition_by="days_active")
+    return tables.read_table(spark, path, churn.CORE_SCHEMA)
+
+
 def one_hot_features(spark, sf_dir):
-    data = modeling.model_input(_churn(spark, sf_dir))
+    data = modeling.model_input(_gold(spark, sf_dir))
     categorical, numeric = modeling.column_roles(data)
     stages = modeling.build_preprocessor(categorical, numeric, modeling.wide_columns(data, categorical))
     prepared = Pipeline(stages=stages).fit(data).transform(data)
@@ -315,7 +320,7 @@ def one_hot_features(spark, sf_dir):
 
 
 def _train_parts(spark, sf_dir):
-    split = sampling.stratified_split(_churn(spark, sf_dir), "churn", ENTITY_KEYS)
+    split = sampling.stratified_split(_gold(spark, sf_dir), "churn", ENTITY_KEYS)
     train, test = sampling.split_parts(split)
     return modeling.model_input(train), modeling.model_input(test)
 
@@ -367,7 +372,7 @@ def queries() -> dict[str, Query]:
         "quality_report": quality_report,
         "domain_special_filter": domain_special_filter,
         "domain_language": _per_domain("language", checked=False),
-        "domain_language_join": _per_domain("language", language_join=True, checked=False),
+        "domain_language_map": _per_domain("language", language_map=True, checked=False),
         "domain_project": _per_domain("database_name"),
         "domain_mobile": _per_domain("is_mobile"),
         "title_namespace": title_namespace,
