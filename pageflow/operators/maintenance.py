@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import logging
 import math
 from collections.abc import Sequence
 
@@ -11,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pageflow.functions.fixed_values import MAX_RECORDS_PER_FILE
-from pageflow.functions.running import materialize
+from pageflow.functions.running import materialize, scratch_path
 from pageflow.operators.features import to_day
-from pageflow.sources.tables import read_table, table_bytes, write_table
+from pageflow.sources.tables import drop_path, read_table, table_bytes, write_table
+
+log = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -39,35 +42,40 @@ def upsert_partition(
 ) -> None:
     """Merges late rows into one day of a table and rewrites that day alone.
 
-    All late rows must be of that day. The merged rows are stored in the shared folder before the
-    old files go, so a job that dies half-way can be run again without loss.
+    All late rows must be of that day. The merged day is first written as a table of its own in the
+    shared folder; should the job die while it replaces the old files, that copy is complete.
     """
     day = to_day(day)
     late = materialize(late)
     if not late.where(~F.col(date_col).eqNullSafe(F.lit(day))).isEmpty():
         raise ValueError(f"late rows of other days than {day}")
     stored = read_table(spark, path).where(F.col(date_col) == F.lit(day))
-    merged = materialize(dedup_latest(stored.unionByName(late), dedup_cols, version))
-    write_table(merged, path, partition_by=date_col, only_partitions=True)
+    stage = scratch_path(spark, f"upsert-{day}")
+    write_table(dedup_latest(stored.unionByName(late), dedup_cols, version), stage, partition_by=date_col)
+    log.info("merged rows of %s for %s are in %s", day, path, stage)
+    write_table(read_table(spark, stage), path, partition_by=date_col, only_partitions=True)
+    drop_path(spark, stage)
 
 
 def cluster_rewrite(
     spark: SparkSession,
     path: str,
-    dest: str | None = None,
+    dest: str,
     by: Sequence[str] = ("page_title", "count_views"),
     method: str = "zorder",
     date_col: str = "file_date",
     days: tuple[str | datetime.date, str | datetime.date] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
     max_records: int = MAX_RECORDS_PER_FILE,
-) -> str:
-    """Rewrites a table into few, clustered files, so that scans can skip by min/max.
+) -> None:
+    """Writes a copy of a table in few, clustered files, so that scans can skip by min/max.
 
-    ``"range"`` sorts by the columns in turn, ``"zorder"`` gives them equal weight. Without ``dest``
-    the days are replaced in place, from a copy stored in the shared folder first. All columns take part in the range
-    bounds, so that many rows with one title still spread over several files.
+    ``"range"`` sorts by the columns in turn, ``"zorder"`` gives them equal weight. All columns take
+    part in the range bounds, so that many rows with one title still spread over several files.
+    Readers move to the copy when it is complete: plain files offer no safe swap in place.
     """
+    if dest.rstrip("/") == path.rstrip("/"):
+        raise ValueError("the clustered copy needs a path of its own")
     rows = read_table(spark, path)
     if days is not None:
         rows = rows.where(F.col(date_col).between(*[F.lit(to_day(d)) for d in days]))
@@ -80,17 +88,7 @@ def cluster_rewrite(
     rest = [c for c in rows.columns if c not in order]
     files = max(1, math.ceil(table_bytes(spark, path) / target_bytes))
     placed = keyed.repartitionByRange(files, *order, *rest).sortWithinPartitions(*order).select(*rows.columns)
-    if dest is None:
-        placed = materialize(placed)
-    write_table(
-        placed,
-        dest or path,
-        partition_by=date_col,
-        max_records=max_records,
-        only_partitions=dest is None,
-        rebalance=False,
-    )
-    return dest or path
+    write_table(placed, dest, partition_by=date_col, max_records=max_records, rebalance=False)
 
 
 def add_z_value(df: DataFrame, by: Sequence[str], bits: int = 8) -> DataFrame:

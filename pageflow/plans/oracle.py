@@ -420,6 +420,11 @@ def oracle_sql() -> dict[str, str]:
         "standardize": f"""with {SILVER}, {_core_set(TRAIN)}
             select {KEYS}, {', '.join(_r(f'({c} - avg({c}) over ()) / stddev_pop({c}) over ()') + f' as {c}' for c in ('views_total', 'views_mean', 'sum_3d'))}
             from core""",
+        "one_hot_features": f"""with {SILVER}, {_core_set(TRAIN)} """
+        + " union all ".join(
+            f"select '{c}' as column_name, cast({c} as varchar) as level, count(*) as n_rows from core group by {c}"
+            for c in ("language", "database_name", "is_mobile", "namespace", "sparsity_level")
+        ),
         "roc_auc": f"""with {SILVER}, {_core_set(TRAIN)}, {SCORED}, {STEPS}
             select {_r('sum(pos * ((n - fp) + neg / 2.0)) / (any_value(p) * any_value(n))')} as roc_auc from steps, sizes""",
         "average_precision": f"""with {SILVER}, {_core_set(TRAIN)}, {SCORED}, {STEPS}

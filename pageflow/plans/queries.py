@@ -263,10 +263,11 @@ def late_upsert(spark, sf_dir):
 
 def _clustered(method: str) -> Query:
     def query(spark, sf_dir):
-        rows, path = silver_log(spark, sf_dir), scratch_path(spark, "clustered")
+        rows = silver_log(spark, sf_dir)
+        path, dest = scratch_path(spark, "silver"), scratch_path(spark, "clustered")
         tables.write_table(rows, path)
-        maintenance.cluster_rewrite(spark, path, method=method)
-        return tables.read_table(spark, path, rows.schema)
+        maintenance.cluster_rewrite(spark, path, dest, method=method)
+        return tables.read_table(spark, dest, rows.schema)
 
     return query
 
@@ -309,13 +310,27 @@ def _gold(spark, sf_dir) -> DataFrame:
 
 
 def one_hot_features(spark, sf_dir):
+    """Rows per level of each one-hot vector, found by the position of its 1."""
     data = modeling.model_input(_gold(spark, sf_dir))
-    categorical, numeric = modeling.column_roles(data)
-    stages = modeling.build_preprocessor(categorical, numeric, modeling.wide_columns(data, categorical))
-    prepared = Pipeline(stages=stages).fit(data).transform(data)
-    values = vector_to_array("features")
-    return prepared.select(
-        *ENTITY_KEYS, F.size(values).alias("n_features"), F.size(F.filter(values, lambda x: x != 0)).alias("n_nonzero")
+    columns = ["language", "database_name", "is_mobile", "namespace", "sparsity_level"]
+    model = Pipeline(stages=modeling.build_preprocessor(columns, ["days_active"])).fit(data)
+    prepared, levels = model.transform(data), dict(zip(columns, model.stages[0].labelsArray))
+    vectors = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.array(*map(F.lit, levels[c])).alias("levels"),
+                vector_to_array(f"{c}_onehot").alias("vector"),
+            )
+            for c in columns
+        ]
+    )
+    one = F.array_position("vector", F.lit(1.0)).cast("int")
+    return (
+        prepared.select(F.inline(vectors))
+        .select("column_name", F.element_at("levels", one).alias("level"))
+        .groupBy("column_name", "level")
+        .agg(F.count("*").alias("n_rows"))
     )
 
 

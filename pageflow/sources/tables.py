@@ -49,9 +49,24 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return spark.read.schema(wanted).parquet(path).select(*wanted.fieldNames())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _hadoop(spark, path)
+    return system.exists(target)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    system, target = _hadoop(spark, path)
+    system.delete(target, True)
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    system, target = _hadoop(spark, path)
+    return system.getContentSummary(target).getLength()
 
 
 def require_paths(spark: SparkSession, *paths: str) -> None:
@@ -61,12 +76,6 @@ def require_paths(spark: SparkSession, *paths: str) -> None:
         raise FileNotFoundError(f"missing tables: {', '.join(missing)}; run the earlier steps first")
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.getContentSummary(target).getLength()
-
-
 def split_by_language(
     df: DataFrame, languages: str | Sequence[str] = "English", path: str | None = None
 ) -> dict[str, DataFrame]:
