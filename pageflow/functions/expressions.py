@@ -78,9 +78,13 @@ def language_dimension(spark: SparkSession) -> DataFrame:
 
 
 def project_name(parts: Column) -> Column:
-    """Project named by the first suffix, in order of priority, that the code carries."""
-    arms = [F.when(F.array_contains(parts, s), F.lit(p)) for s, p in PROJECT_SUFFIXES.items()]
-    return F.coalesce(*arms, F.lit(DEFAULT_PROJECT))
+    """Project named by the first suffix, in order of priority, that the code carries.
+
+    An intersection keeps the order of its first array, so its first element is the one that wins.
+    """
+    suffixes = F.array(*[F.lit(s) for s in PROJECT_SUFFIXES])
+    names = F.create_map(*[F.lit(text) for item in PROJECT_SUFFIXES.items() for text in item])
+    return F.coalesce(names[F.get(F.array_intersect(suffixes, parts), 0)], F.lit(DEFAULT_PROJECT))
 
 
 def mobile_flag(parts: Column) -> Column:

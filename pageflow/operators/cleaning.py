@@ -85,7 +85,7 @@ def split_title(df: DataFrame, normalize_underscores: bool = False) -> DataFrame
     has_prefix, prefix = title.contains(":"), F.substring_index(title, ":", 1)
     if normalize_underscores:
         prefix = F.translate(prefix, "_", " ")
-    rest = F.substring(title, F.instr(title, ":") + 1, F.length(title))
+    rest = F.substr(title, F.instr(title, ":") + 1)
     return df.where(~has_prefix | prefix.isin(NAMESPACES)).withColumns(
         {
             "namespace": F.when(has_prefix, prefix).otherwise(DEFAULT_NAMESPACE),

@@ -26,21 +26,22 @@ SILVER_COLUMNS = [
 ]
 RAW_COLUMNS = ["domain_code", "page_title", "count_views", "total_response_size", "file_date", "file_time"]
 
+# Constant arrays and maps rather than CASE arms: the whole cleaning step is compiled into one
+# method together with these, and the JVM does not optimize methods beyond 8,000 bytes. The one
+# field of props ({"k": n}) is cut out as text, as filters evaluate the title several times.
 DOMAIN = """
-case when event_id % 101 = 0 then null else
-  case user_id % 9 when 0 then 'en' when 1 then 'it' when 2 then 'fr' when 3 then 'de' when 4 then 'es'
-                   when 5 then 'it' when 6 then 'commons' when 7 then 'xx' else 'en' end
-  || case event_type when 'view' then '' when 'click' then '.m' when 'purchase' then '.b' when 'signup' then '.m.voy'
-     else case user_id % 7 when 0 then '.q' when 1 then '.n' when 2 then '.s' when 3 then '.v' when 4 then '.d'
-                           when 5 then '.w' else case when user_id % 2 = 0 then '.wd' else '.f' end end end
-end"""
+if(event_id % 101 = 0, null, concat(
+  element_at(array('en', 'it', 'fr', 'de', 'es', 'it', 'commons', 'xx', 'en'), cast(user_id % 9 as int) + 1),
+  coalesce(
+    map('view', '', 'click', '.m', 'purchase', '.b', 'signup', '.m.voy')[event_type],
+    element_at(array('.q', '.n', '.s', '.v', '.d', '.w', '.wd', '.f'),
+               cast(user_id % 7 + if(user_id % 7 = 6, user_id % 2, 0) as int) + 1))))"""
 TITLE = """
-case when event_id % 97 = 0 then '-' when event_id % 103 = 0 then null else
-  case user_id % 8 when 1 then 'Special:' when 2 then 'Talk:' when 3 then 'User talk:' when 4 then 'User_talk:'
-                   when 5 then 'Star_Trek:_' when 6 then 'File:A:' else '' end
-  || 'P' || cast(user_id as string) || '_'
-  || cast(cast(get_json_object(props, '$.k') as bigint) % (1 + user_id % 6) as string) end"""
-VIEWS = "case when event_id % 89 = 0 then cast(-1 as bigint) else cast(floor(value) as bigint) end"
+if(event_id % 97 = 0, '-', if(event_id % 103 = 0, null, concat(
+  element_at(array('', 'Special:', 'Talk:', 'User talk:', 'User_talk:', 'Star_Trek:_', 'File:A:', ''),
+             cast(user_id % 8 as int) + 1),
+  'P', user_id, '_', cast(trim(trailing '}' from substring_index(props, ':', -1)) as bigint) % (1 + user_id % 6))))"""
+VIEWS = "if(event_id % 89 = 0, -1L, cast(floor(value) as bigint))"
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
