@@ -84,9 +84,9 @@ def rolling_sum(
 def last_days(spec, n: int, day: Column, frame: str):
     """Window frame of the last n active days (``"rows"``) or calendar days (``"days"``)."""
     if frame == "rows":
-        return spec.orderBy(day.asc_nulls_last()).rowsBetween(1 - n, 0)
+        return spec.orderBy(day).rowsBetween(1 - n, 0)
     if frame == "days":
-        return spec.orderBy(F.unix_date(day).asc_nulls_last()).rangeBetween(1 - n, 0)
+        return spec.orderBy(F.unix_date(day)).rangeBetween(1 - n, 0)
     raise ValueError(f"frame must be 'rows' or 'days', not {frame!r}")
 
 
@@ -165,10 +165,20 @@ def normalized(entropy: Column, n: Column) -> Column:
     return F.when(n > 1, entropy / F.ln(n.cast("double"))).otherwise(F.lit(0.0))
 
 
+def time_number(time: Column) -> Column:
+    """``HH:mm:ss`` as a number in the same order; NULL when it is not a time."""
+    return F.translate(time, ":", "").try_cast("int")
+
+
 def last_domain(df: DataFrame, key_cols: Sequence[str] = ENTITY_KEYS, domain: str = "domain_code") -> DataFrame:
-    """Domain code of an entity's last hour; within that hour the greatest code."""
-    newest = F.max(F.struct(DAY, "file_time", domain))
-    return df.groupBy(*key_cols).agg(newest.alias("_newest")).select(*key_cols, F.col(f"_newest.{domain}").alias(domain))
+    """Domain code of an entity's last hour; within that hour the greatest code.
+
+    Page views are first reduced to one number per entity and code, which needs no sorting.
+    """
+    hour = F.unix_date(DAY).cast("long") * 1_000_000 + F.coalesce(time_number(F.col("file_time")), F.lit(-1))
+    per_code = df.groupBy(*key_cols, domain).agg(F.max(hour).alias("_hour"))
+    newest = F.max(F.struct("_hour", domain)).alias("_newest")
+    return per_code.groupBy(*key_cols).agg(newest).select(*key_cols, F.col(f"_newest.{domain}").alias(domain))
 
 
 def churn_labels(df: DataFrame, windows: Windows, key_cols: Sequence[str] = ENTITY_KEYS) -> DataFrame:
@@ -179,9 +189,9 @@ def churn_labels(df: DataFrame, windows: Windows, key_cols: Sequence[str] = ENTI
     day = F.col(DAY)
     in_obs, in_lbl = windows.observed(day), windows.labelled(day)
     return (
-        df.where((in_obs | in_lbl) & all_present(key_cols))
+        df.where(in_obs | in_lbl)
         .groupBy(*key_cols)
-        .agg(F.max(in_obs).alias("_observed"), F.max(in_lbl).alias("_alive"))
+        .agg(F.max(in_obs & all_present(key_cols)).alias("_observed"), F.max(in_lbl).alias("_alive"))
         .where("_observed")
         .select(*key_cols, F.when(F.col("_alive"), 0).otherwise(1).alias("churn"))
     )

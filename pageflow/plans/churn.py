@@ -3,8 +3,11 @@
 1. Views are summed per entity and day (per domain code too for the full set). Partial sums are
    combined before the shuffle, so a page with a third of all views sends a few rows per task.
 2. What is left, at most one row per entity and day (and code), is shuffled by entity. Rolling
-   sums, features, the last-day snapshot and the label all come from that one arrangement: rows of
-   the label window carry a NULL day, which every aggregate skips and the label looks for.
+   sums, features, the last-day snapshot and the label all come from that one arrangement, in the
+   order of days. Days of the label window come last, and the aggregates see them as NULL.
+
+Aggregates before a shuffle keep to fixed-width buffers (a time of day is a number, not a text), or
+Spark would sort the page views instead of hashing them.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pageflow.operators.features import (
     full_aggregates,
     last_days,
     normalized,
+    time_number,
 )
 
 SET_NAME = "set_name"
@@ -111,39 +115,38 @@ def churn_datasets(
         needed = needed | w.observed(day) | w.labelled(day)
     # The envelope repeats what "needed" implies, in the plain form that prunes partitions.
     first, last = min(w.obs_start for w in windows.values()), max(w.lbl_end for w in windows.values())
-    rows = df.where(day.between(F.lit(first), F.lit(last)) & needed & all_present(keys))
+    rows = df.where(day.between(F.lit(first), F.lit(last)) & needed)
 
     summed = [F.sum("count_views").alias("_v")]
     if full:
-        summed.append(F.max("file_time").alias("_time"))
+        summed.append(F.max(time_number(F.col("file_time"))).alias("_time"))
     daily = rows.groupBy(*keys, *(["domain_code"] if full else []), DAY).agg(*summed)
 
     tagged = _tag_sets(daily, windows)
     entity = [SET_NAME, *keys]
     if full:
         tagged = _fold_domains(tagged, entity)
-    views = F.when(F.col("_day").isNotNull(), F.col("_v"))
     by_entity = Window.partitionBy(*entity)
-    for n in (3, 7) if full else (3,):
-        tagged = tagged.withColumn(f"_sum_{n}d", F.sum(views).over(last_days(by_entity, n, F.col("_day"), frame)))
-
-    return _summarize(tagged, entity, views, full).select(
+    sums = [3, 7] if full else [3]
+    rolled = tagged.withColumns(
+        {f"_sum_{n}d": F.sum("_v").over(last_days(by_entity, n, day, frame)) for n in sums}
+    )
+    return _summarize(rolled, entity, sums, full).select(
         SET_NAME, *keys, *(FULL_COLUMNS if full else CORE_COLUMNS)
     )
 
 
+def _is_observed() -> Column:
+    return F.col(DAY) <= F.col("_end")
+
+
 def _tag_sets(daily: DataFrame, windows: Mapping[str, Windows]) -> DataFrame:
-    """One row per set a day belongs to: ``_day`` is NULL where it only serves as a label."""
+    """One row per set a day belongs to, with the bounds of that set's observation window."""
     day = F.col(DAY)
     tags = [
         F.when(
             w.observed(day) | w.labelled(day),
-            F.struct(
-                F.lit(name).alias(SET_NAME),
-                F.when(w.observed(day), day).alias("_day"),
-                F.lit(w.obs_start).alias("_origin"),
-                F.lit(w.obs_end).alias("_end"),
-            ),
+            F.struct(F.lit(name).alias(SET_NAME), F.lit(w.obs_start).alias("_origin"), F.lit(w.obs_end).alias("_end")),
         )
         for name, w in windows.items()
     ]
@@ -151,7 +154,7 @@ def _tag_sets(daily: DataFrame, windows: Mapping[str, Windows]) -> DataFrame:
         tagged = daily.withColumn("_tag", tags[0])
     else:
         tagged = daily.withColumn("_tag", F.explode(F.array_compact(F.array(*tags))))
-    return tagged.select(*[c for c in daily.columns if c != DAY], "_tag.*")
+    return tagged.select(*daily.columns, "_tag.*")
 
 
 def _fold_domains(tagged: DataFrame, entity: Sequence[str]) -> DataFrame:
@@ -160,15 +163,18 @@ def _fold_domains(tagged: DataFrame, entity: Sequence[str]) -> DataFrame:
     The explicit repartition by entity serves all later windows and aggregations of the plan. Each
     code's total is added on one of its rows only, so that the sums over days are right.
     """
-    observed = F.col("_day").isNotNull()
-    of_code = Window.partitionBy(*entity, "domain_code")
-    in_code = of_code.orderBy(F.col("_day").asc_nulls_last())
-    views = F.when(observed, F.col("_v"))
+    in_code = Window.partitionBy(*entity, "domain_code").orderBy(DAY)
+    whole_code = in_code.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    views = F.when(_is_observed(), F.col("_v"))
     return (
         tagged.repartition(*[F.col(c) for c in entity])
-        .withColumn("_code_total", F.sum(views).over(of_code))
-        .withColumn("_is_first", observed & (F.row_number().over(in_code) == 1))
-        .groupBy(*entity, "_day", "_origin", "_end")
+        .withColumns(
+            {
+                "_code_total": F.sum(views).over(whole_code),
+                "_is_first": _is_observed() & (F.row_number().over(in_code) == 1),
+            }
+        )
+        .groupBy(*entity, DAY, "_origin", "_end")
         .agg(
             F.sum("_v").alias("_v"),
             F.max(F.struct("_time", "domain_code")).alias("_latest"),
@@ -178,19 +184,24 @@ def _fold_domains(tagged: DataFrame, entity: Sequence[str]) -> DataFrame:
     )
 
 
-def _summarize(daily: DataFrame, entity: Sequence[str], views: Column, full: bool) -> DataFrame:
-    day, at_end = F.col("_day"), F.col("_day") == F.col("_end")
+def _summarize(daily: DataFrame, entity: Sequence[str], sums: Sequence[int], full: bool) -> DataFrame:
+    day, views = F.when(_is_observed(), F.col(DAY)), F.when(_is_observed(), F.col("_v"))
+    at_end = F.col(DAY) == F.col("_end")
     chosen = full_aggregates(day, views, F.col("_origin")) if full else core_aggregates(day, views)
     chosen["views_last_day"] = F.coalesce(F.max(F.when(at_end, views)), F.lit(0))
-    for n in (3, 7) if full else (3,):
+    for n in sums:
         chosen[f"sum_{n}d"] = F.coalesce(F.max(F.when(at_end, F.col(f"_sum_{n}d"))), F.lit(0))
+    # Tested on the summed rows: a plain filter on the keys would be pushed down to the page views and
+    # evaluate there, for every row, all the expressions the keys are made of.
+    chosen["_has_keys"] = F.bool_and(all_present(entity[1:]))
     chosen["churn"] = F.when(F.max(day.isNull()), 0).otherwise(1)
     if full:
         chosen["n_domains"] = F.sum("_codes")
         chosen["_vlnv"] = F.sum("_vlnv")
         chosen["domain_code"] = F.max_by("_latest.domain_code", day)
 
-    result = daily.groupBy(*entity).agg(*[c.alias(name) for name, c in chosen.items()]).where("days_active > 0")
+    result = daily.groupBy(*entity).agg(*[c.alias(name) for name, c in chosen.items()])
+    result = result.where("days_active > 0 and _has_keys")
     result = result.withColumn("sparsity_level", E.sparsity_level(F.col("days_active")))
     if full:
         entropy = E.entropy_of_sums(F.col("views_total"), F.col("_vlnv"))

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows that a window left in order need no hashing (or sorting again) to be aggregated.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
 }

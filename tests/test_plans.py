@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.operators import kpis, maintenance, sampling
+from pageflow.operators import features, kpis, maintenance, sampling
 from pageflow.plans.churn import churn_dataset, churn_datasets
 from pageflow.plans.fixtures import TEST, TRAIN, silver_log
 from pageflow.sources.tables import write_table
@@ -44,6 +44,14 @@ def test_churn_set_shuffles_twice_and_joins_nothing(stored, kind):
     assert "count_views" in plan(df) and "total_response_size" not in plan(df)
 
 
+@pytest.mark.parametrize("kind", ["core", "full"])
+def test_page_views_are_hashed_not_sorted(stored, kind):
+    before_shuffle = plan(churn_dataset(stored, *args(TRAIN), features=kind)).rsplit("Exchange hashpartitioning", 1)[1]
+    assert "HashAggregate" in before_shuffle and "Sort" not in before_shuffle
+    before_shuffle = plan(features.last_domain(stored)).rsplit("Exchange hashpartitioning", 1)[1]
+    assert "HashAggregate" in before_shuffle and "Sort" not in before_shuffle
+
+
 def test_two_sets_take_one_scan(stored):
     df = churn_datasets(stored, {"train": TRAIN, "test": TEST})
     assert count(df, r"FileScan") == 1
