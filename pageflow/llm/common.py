@@ -70,3 +70,17 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
         stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, side="right")) - 1)
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def marked(docs: DataFrame, decisions: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have (``left_semi``) or lack (``left_anti``) a decision on their id and text.
+
+    ``decisions`` has ``_id`` and ``_digest`` (``digest_of`` the text). NULL ids match NULL ids, and
+    repeated rows share their decision.
+    """
+    same = docs[id_col].eqNullSafe(decisions["_id"]) & (digest_of(docs[text_col]) == decisions["_digest"])
+    return docs.join(decisions, same, how)
+
+
+def digest_of(text: str | Column) -> Column:
+    return F.unhex(F.md5(text_of(text)))

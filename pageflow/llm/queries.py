@@ -5,12 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.llm import exactdedup, sharding, tokencounts, warc
+from pageflow.llm import exactdedup, mixing, pseudonyms, quality, sharding, tokencounts, warc
 from pageflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+PSEUDONYM_KEY = b"a key for tests; production passes its own"
+MIX_WEIGHTS = {"clean": 0.9, "low": 0.06, "toxic": 0.04}
+
+
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms for their personal data."""
+    done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.col("spans")["kind"])), ",")
+    return done.select("doc_id", "text", F.size("spans").alias("n_values"), kinds.alias("kinds"), (F.size("spans") > 0).alias("changed"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +36,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents for target weights of the labelled domains."""
+    rates = mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIX_WEIGHTS)
+    return rates.select(F.col("_id").alias("doc_id"), "words", *[f"p_{c}" for c in MIX_WEIGHTS], "rate", "copies")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     folder = scratch_path(spark, "warc")
@@ -39,6 +55,12 @@ def op8_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents from their words, hosts (sources) and paths (source and language)."""
+    scored = quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("_id", "doc_id").drop("_digest")
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit() and callable(query)
 }
