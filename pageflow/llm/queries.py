@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.llm import exactdedup, mixing, pseudonyms, quality, sharding, tokencounts, warc
+from pageflow.llm import exactdedup, mixing, nearcopies, pseudonyms, quality, sharding, tokencounts, warc
 from pageflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,17 @@ def op5_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.select(F.col("_id").alias("doc_id"), "words", *[f"p_{c}" for c in MIX_WEIGHTS], "rate", "copies")
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies among all documents, at a similarity of 0.85."""
+    near = nearcopies.near_copies(table(spark, sf_dir, "documents"), percent=85)
+    return near.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_size").alias("n_shingles"),
+        "component_id",
+        F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back."""
     folder = scratch_path(spark, "warc")
