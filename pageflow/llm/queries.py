@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.llm import exactdedup, mixing, nearcopies, pseudonyms, quality, sharding, tokencounts, warc
+from pageflow.llm import decontaminate, exactdedup, mixing, nearcopies, pseudonyms, quality, sharding, tokencounts, warc
 from pageflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("_id", "doc_id")
+
+
 def op5_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates of all documents for target weights of the labelled domains."""
     rates = mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIX_WEIGHTS)

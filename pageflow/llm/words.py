@@ -6,12 +6,14 @@ equal on every machine. Two different words share a hash with a chance of about
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 SOLID = np.ones(256, bool)
 SOLID[[0x20, *range(0x09, 0x0E)]] = False
+MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+# For comparisons that ignore punctuation: ASCII letters and digits, and all bytes of other characters.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -32,43 +34,39 @@ def keys(n: int, seed: int) -> np.ndarray:
     return mix(step + np.uint64(seed)) | np.uint64(1)
 
 
-@functools.lru_cache(maxsize=8)
-def _places(n: int) -> np.ndarray:
-    return keys(n, 11)
-
-
-def word_spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, ends: np.ndarray, inside: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and length of every word, and the number of words before each offset of ``ends``."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(ends), np.int64)
-    solid = SOLID[data]
-    first = solid.copy()
+    solid = inside[data]
+    first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
-    begins = ends[:-1][ends[:-1] < len(data)]
-    first[begins] = solid[begins]
+    last[:-1] &= ~solid[1:]
+    edges = ends[1:-1][(ends[1:-1] > 0) & (ends[1:-1] < len(data))]
+    first[edges] = solid[edges]
+    last[edges - 1] = solid[edges - 1]
     starts = np.flatnonzero(first)
-    if not len(starts):
-        return starts, starts, np.zeros(len(ends), np.int64)
-    lengths = np.add.reduceat(solid, starts, dtype=np.int64)
-    return starts, lengths, np.searchsorted(starts, ends)
-
+    return starts, np.flatnonzero(last) + 1 - starts, np.searchsorted(starts, ends)
 
-def word_hashes(data: np.ndarray, ends: np.ndarray, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every lower-cased word in order, and the number of words before each offset.
 
-    With ``prefix``, only the first so many bytes of a word count.
-    """
-    starts, lengths, before = word_spans(data, ends)
+def word_hashes(data: np.ndarray, ends: np.ndarray, inside: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every lower-cased word in order, and the number of words before each offset."""
+    starts, lengths, before = word_spans(data, ends, inside)
     if not len(starts):
         return np.zeros(0, np.uint64), before
-    if prefix is not None:
-        lengths = np.minimum(lengths, prefix)
-    heads = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
-    letters = LOWER[data[place + np.repeat(starts, lengths)]].astype(np.uint64)
-    letters += np.uint64(1)
-    letters *= _places(1 << int(lengths.max()).bit_length())[place]
-    return mix(np.add.reduceat(letters, heads) + lengths.astype(np.uint64)), before
+    lower = np.concatenate([LOWER[data], np.zeros(8, np.uint8)])
+    # All runs of eight bytes as numbers; a word is folded eight bytes at a time, its last ones masked.
+    eights = np.ndarray((len(data),), "<u8", lower.data, strides=(1,))
+    hashes = mix(lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(11))
+    at, todo = starts, slice(None)
+    left = lengths
+    while len(at):
+        piece = eights[at] & MASKS[np.minimum(left, 8)]
+        hashes[todo] = mix(hashes[todo] ^ piece)
+        more = np.flatnonzero(left > 8)
+        todo = more if isinstance(todo, slice) else todo[more]
+        at, left = at[more] + 8, left[more] - 8
+    return hashes, before
 
 
 def windows(hashes: np.ndarray, before: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
