@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pageflow.llm.common import bytes_of, slices, text_of
 from pageflow.llm.words import LOWER, mix, word_hashes, word_spans
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 12_000
 SLOTS = 1 << 17
 EPOCHS = 6
 LEARNING_RATE = 0.3

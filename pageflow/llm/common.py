@@ -72,15 +72,26 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
         start = stop
 
 
-def marked(docs: DataFrame, decisions: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have (``left_semi``) or lack (``left_anti``) a decision on their id and text.
+def digest_of(text: str | Column) -> Column:
+    return F.unhex(F.md5(text_of(text)))
 
-    ``decisions`` has ``_id`` and ``_digest`` (``digest_of`` the text). NULL ids match NULL ids, and
-    repeated rows share their decision.
-    """
-    same = docs[id_col].eqNullSafe(decisions["_id"]) & (digest_of(docs[text_col]) == decisions["_digest"])
-    return docs.join(decisions, same, how)
 
+def print_of(text: str | Column) -> Column:
+    return F.xxhash64(text_of(text))
 
-def digest_of(text: str | Column) -> Column:
-    return F.unhex(F.md5(text_of(text)))
+
+def decided(
+    docs: DataFrame,
+    decisions: DataFrame,
+    how: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    key: str = "_digest",
+) -> DataFrame:
+    """The rows of ``docs`` joined with the decision on their id and text, in the manner of ``how``.
+
+    ``decisions`` has ``_id`` and, as ``key``, ``_digest`` or ``_print`` of the text. NULL ids match NULL
+    ids, and repeated rows share their decision.
+    """
+    own = {"_digest": digest_of, "_print": print_of}[key](docs[text_col])
+    return docs.join(decisions, docs[id_col].eqNullSafe(decisions["_id"]) & (own == decisions[key]), how)

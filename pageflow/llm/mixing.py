@@ -3,7 +3,9 @@
 A classifier of the labelled table gives every document probabilities over domains. With t tokens, domain
 probabilities p and rate r, a document adds r * t * p to the domain totals. Rates start at 1 and follow
 projected gradient steps on the squared distance between totals and targets, measured in the inverse of
-M = sum(t p p'); in this scaling the step length is 1. All that a step needs from the rows is one total per
+M = sum(t p p'); in this scaling the step length is 1. ``damping`` (a share of all tokens, added to the
+diagonal of M) and ``ridge`` (a pull towards rate 1) keep rates near 1 where documents hardly differ in
+their domains; ``most`` bounds the rates from above. All that a step needs from the rows is one total per
 domain, and a row's rate is a fold over the vectors of the steps so far, so no rates are stored or joined.
 The rate's whole part is the number of copies, and its fraction the chance of one more, by a row hash.
 
@@ -25,30 +27,51 @@ from pageflow.llm.common import digest_of, stored, text_of
 from pageflow.llm.quality import CLASSES, label_classes
 
 
-def _fold(rate: Column, steps: list[np.ndarray], domains: list[str]) -> Column:
-    """The rate after the given steps; each takes sum_k p_k u_k off and cuts at zero."""
-    for u in steps:
-        move = sum((F.col(f"p_{d}") * F.lit(float(x)) for d, x in zip(domains, u)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+def _fold(steps: list[np.ndarray], domains: list[str], ridge: float, most: float | None) -> Column:
+    """The rate after the given steps; each takes sum_k p_k u_k off and cuts at the bounds.
 
+    One fold over an array of the steps, so that the expression stays small however many there are.
+    """
+    if not steps:
+        return F.lit(1.0)
+    moves = F.array(*[F.array(*[F.lit(float(x)) for x in u]) for u in steps])
+    p = [F.col(f"p_{d}") for d in domains]
+
+    def step(rate: Column, u: Column) -> Column:
+        move = sum((u[k] * q for k, q in enumerate(p)), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), (rate + F.lit(ridge) - move) / F.lit(1 + ridge))
+        return rate if most is None else F.least(F.lit(float(most)), rate)
 
-def fit_rates(rows: DataFrame, targets: np.ndarray, domains: list[str], rounds: int = 40, tolerance: float = 1e-4) -> Column:
+    return F.aggregate(moves, F.lit(1.0), step)
+
+
+def fit_rates(
+    rows: DataFrame,
+    targets: np.ndarray,
+    domains: list[str],
+    rounds: int = 40,
+    tolerance: float = 1e-4,
+    damping: float = 1e-9,
+    ridge: float = 0.0,
+    most: float | None = None,
+) -> Column:
     """The rate of a row with ``words`` and ``p_<domain>`` columns, as an expression over them."""
     n = len(domains)
     p = [F.col(f"p_{d}") for d in domains]
     cells = rows.agg(*[F.sum(F.col("words") * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)]).first()
     m = np.array([[cells[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
-    inverse = np.linalg.pinv(m, rcond=1e-9, hermitian=True)
+    inverse = np.linalg.pinv(m + damping * m.sum() * np.eye(n), rcond=1e-12, hermitian=True)
     steps: list[np.ndarray] = []
     for _ in range(rounds):
-        rate = _fold(F.lit(1.0), steps, domains)
+        rate = _fold(steps, domains, ridge, most)
         sums = rows.select("words", *p, rate.alias("_r")).agg(*[F.sum(F.col("words") * F.col("_r") * q).alias(d) for q, d in zip(p, domains)])
         totals = np.array([sums.first()[d] or 0.0 for d in domains])
-        if np.abs(totals - targets).max() <= tolerance * max(targets.sum(), 1e-9):
+        step = inverse @ (totals - targets)
+        settled = bool(steps) and np.abs(step - steps[-1]).max() <= tolerance * max(np.abs(step).max(), 1e-12) and ridge > 0
+        if settled or np.abs(totals - targets).max() <= tolerance * max(targets.sum(), 1e-9):
             break
-        steps.append(inverse @ (totals - targets))
-    return _fold(F.lit(1.0), steps, domains)
+        steps.append(step)
+    return _fold(steps, domains, ridge, most)
 
 
 def mixing_rates(
@@ -61,6 +84,7 @@ def mixing_rates(
     rounds: int = 40,
     seed: int = 17,
     sample_rows: int = classifier.SAMPLE_ROWS,
+    **bounds,
 ) -> DataFrame:
     """One row per document: ``_id``, ``_digest``, words, domain probabilities, rate, copies.
 
@@ -74,7 +98,7 @@ def mixing_rates(
     total = scored.agg(F.sum("words").alias("n")).first()["n"] or 0
     share = np.array([float(weights[d]) for d in domains])
     targets = share / share.sum() * (float(total) if budget is None else float(budget))
-    rate = fit_rates(scored, targets, domains, rounds)
+    rate = fit_rates(scored, targets, domains, rounds, **bounds)
     drawn = F.pmod(F.xxhash64("_id", "_digest", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + (drawn < F.col("rate") - F.floor("rate")).cast("int")
     return scored.withColumn("rate", rate).withColumn("copies", copies.cast("int"))

@@ -259,7 +259,10 @@ def near_copies(
     symbols: int = SYMBOLS,
     miss: float = MISS,
 ) -> DataFrame:
-    """One row per document: ``_id``, ``_print`` (hash of its text), set size, component (its smallest id)."""
+    """One row per document: ``_id``, ``_print`` (hash of its text), set size, component (its smallest id).
+
+    ``stays`` marks the one document of a component that is kept; rows that repeat it whole are marked too.
+    """
     distance = distance_for(percent / 100, symbols, miss)
     text = text_of(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_print"), text.alias("_text"))
@@ -293,7 +296,8 @@ def near_copies(
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")
     full = stored(full, "near-members")
-    smallest = full.groupBy("comp").agg(F.min("_id").alias("component_id"))
-    full = full.join(smallest, "comp").select("_id", "_print", "_size", "component_id")
-    empty = rows.where("_size = 0").select("_id", "_print", "_size", F.col("_id").alias("component_id"))
+    smallest = full.groupBy("comp").agg(first).select("comp", F.col("_first._id").alias("component_id"), F.col("_first._print").alias("_p"))
+    stays = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_print") == F.col("_p"))
+    full = full.join(smallest, "comp").select("_id", "_print", "_size", "component_id", stays.alias("stays"))
+    empty = rows.where("_size = 0").select("_id", "_print", "_size", F.col("_id").alias("component_id"), F.lit(True).alias("stays"))
     return full.unionByName(empty)

@@ -67,17 +67,29 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
 
 
 def balanced_shards(
-    docs: DataFrame, shards: int = 24, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    shards: int = 24,
+    rounds: int = 8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per document: id, size, CRC-32 of its text, law, shard, slot, and the initial shard's hub."""
+    """One row per document: id, size, CRC-32 of its text, law, shard, slot, and no shard under growth.
+
+    With ``carry`` the documents are returned whole, with ``shard`` and ``slot`` added (and replacing
+    columns of these names).
+    """
     text = text_of(text_col)
+    if carry:
+        docs = stored(docs.drop("_row").withColumn("_row", F.monotonically_increasing_id()), "shard-documents")
     rows = docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
         F.unhex(F.md5(text)).alias("_hub"),
+        (F.col("_row") if carry else F.monotonically_increasing_id()).alias("_row"),
     )
-    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "shard-rows")
+    rows = stored(rows, "shard-rows")
     total = rows.count()
     hubs = rows.groupBy("_hub").agg(F.count("*").alias("_n")).where("_n > 1").select("_hub")
     labels = propagate(rows.select("_row", "_hub").join(hubs, "_hub", "left_semi"), total, shards, rounds)
@@ -89,6 +101,9 @@ def balanced_shards(
     # Integer arithmetic: shard s holds the places from ceil(s * total / shards) on.
     cut = F.expr(f"(_rank - 1) * {shards}L div {max(total, 1)}L")
     start = F.expr(f"(((_rank - 1) * {shards}L div {max(total, 1)}L) * {max(total, 1)}L + {shards - 1}L) div {shards}L")
+    if carry:
+        slots = ranked.select("_row", cut.cast("int").alias("shard"), (place - start).cast("long").alias("slot"))
+        return docs.drop("shard", "slot").join(slots, "_row").drop("_row")
     return ranked.select(
         F.col("_id").alias(id_col),
         "size",
