@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.llm import decontaminate, exactdedup, mixing, nearcopies, pseudonyms, quality, sharding, tokencounts, warc
+from pageflow.llm import decontaminate, exactdedup, mixing, nearcopies, pitmanyor, pseudonyms, quality, sharding, tokencounts, warc
 from pageflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -77,6 +77,11 @@ def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumnRenamed("_id", "doc_id").drop("_digest")
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under a bigram model of those whose crc32(doc_id) mod 7 is not 2."""
+    return pitmanyor.scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit() and callable(query)
 }
