@@ -9,10 +9,13 @@ most one symbol of some chunk. For each chunk and each of its places a key leave
 enumerates the allowed error; so every pair within the distance shares a key.
 
 No bucket of equal keys is expanded into all its pairs. First each member is compared with the smallest
-member of its buckets; confirmed links give components. Only buckets that still hold several components
-go on: members outside the first member's component are compared with all members, in blocks of bounded
-size that are spread over tasks. Every candidate is confirmed on full sets (100 * intersection >=
-percent * union), so a link is lost only if its signatures are farther apart than the distance.
+member of its buckets: the closest of these, then the others as far as components still differ. Only
+buckets that still hold several components go on: members outside the first member's component are
+compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
+first key it shares only. A pair is passed on if its signatures are within the distance and if the counts
+of elements in ``CELLS`` cells of the hash range allow the similarity (their absolute differences add up
+to at most the symmetric difference, so this drops no link). Every pair passed on is confirmed on full
+sets (100 * intersection >= percent * union): a link is lost only if its signatures are too far apart.
 
 Results: NULL, empty and white-space texts have an empty set and no links; a text with fewer than five
 words has its whole sequence as the one element; repeated rows are copies of each other; NULL ids get
@@ -39,6 +42,8 @@ RUN = 5
 SYMBOLS = 64
 MISS = 1e-5
 BLOCK = 256
+CELL_BITS = 9
+CELLS = 1 << CELL_BITS
 
 
 def distance_for(similarity: float, symbols: int, miss: float) -> int:
@@ -99,18 +104,43 @@ def signed(docs: DataFrame, symbols: int) -> DataFrame:
                 sizes = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(sizes)
                 signs: list[bytes | None] = [None] * len(sets)
+                cells: list[bytes | None] = [None] * len(sets)
                 if len(full):
                     offsets = np.concatenate([[0], np.cumsum(sizes[full])])
-                    made = signatures(np.concatenate([sets[k] for k in full]), offsets, symbols)
-                    for k, row in zip(full, made):
-                        signs[k] = row.tobytes()
+                    values = np.concatenate([sets[k] for k in full])
+                    for k, sign, counts in zip(full, signatures(values, offsets, symbols), cell_counts(values, offsets)):
+                        signs[k], cells[k] = sign.tobytes(), counts.tobytes()
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), part.column("_print"), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
-                    ["_id", "_print", "_size", "_digest", "_sign"],
+                    [part.column("_id"), part.column("_print"), pa.array(sizes), *[pa.array(x, pa.binary()) for x in (digests, signs, cells)]],
+                    ["_id", "_print", "_size", "_digest", "_sign", "_cells"],
                 )
 
-    return docs.mapInArrow(run, "_id long, _print long, _size long, _digest binary, _sign binary")
+    return docs.mapInArrow(run, "_id long, _print long, _size long, _digest binary, _sign binary, _cells binary")
+
+
+def cell_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Elements of each set in each cell of the hash range, up to 255."""
+    n = len(offsets) - 1
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    cell = (values >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    return np.minimum(np.bincount(owner * CELLS + cell, minlength=n * CELLS).reshape(n, CELLS), 255).astype(np.uint8)
+
+
+def possible(x: np.ndarray, y: np.ndarray, x_size: np.ndarray, y_size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether cell counts (int16) allow the similarity; also returns the differences.
+
+    With union u, common part i and symmetric difference d: 100 i >= percent u means
+    (100 + percent) d <= (100 - percent) (|x| + |y|).
+    """
+    apart = np.abs(x - y).sum(axis=-1, dtype=np.int64)
+    apart = np.maximum(apart, np.abs(x_size - y_size))
+    return (100 + percent) * apart <= (100 - percent) * (x_size + y_size), apart
+
+
+def _cells(column: pa.Array) -> np.ndarray:
+    data, ends = bytes_of(column)
+    return data.reshape(len(ends) - 1, CELLS).astype(np.int16)
 
 
 def _signs(column: pa.Array) -> np.ndarray:
@@ -132,19 +162,27 @@ def keyed(classes: DataFrame, distance: int) -> DataFrame:
     return classes.select("c", "_sign").mapInArrow(run, "key long, c long")
 
 
-def within(pairs: DataFrame, classes: DataFrame, distance: int) -> DataFrame:
-    """The pairs (a, b) whose signatures differ in at most ``distance`` symbols."""
+SKETCH = ("_size", "_sign", "_cells")
+
+
+def within(pairs: DataFrame, classes: DataFrame, distance: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that signatures and cells allow, with the differences of their cells as ``apart``."""
     for side in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("_sign").alias(f"_sign_{side}")), side)
+        pairs = pairs.join(classes.select(F.col("c").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in SKETCH]), side)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                apart = (_signs(batch.column("_sign_a")) != _signs(batch.column("_sign_b"))).sum(axis=1)
-                close = batch.filter(pa.array(apart <= distance))
-                yield pa.RecordBatch.from_arrays([close.column("a"), close.column("b")], ["a", "b"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                batch = whole.slice(at, 2_000)
+                near = (_signs(batch.column("_sign_a")) != _signs(batch.column("_sign_b"))).sum(axis=1) <= distance
+                sizes = [batch.column(f"_size_{side}").to_numpy() for side in ("a", "b")]
+                allowed, apart = possible(_cells(batch.column("_cells_a")), _cells(batch.column("_cells_b")), *sizes, percent)
+                left = pa.array(near & allowed)
+                arrays = [batch.column("a"), batch.column("b"), pa.array(apart)]
+                yield pa.RecordBatch.from_arrays([x.filter(left) for x in arrays], ["a", "b", "apart"])
 
-    return pairs.select("a", "b", "_sign_a", "_sign_b").mapInArrow(run, "a long, b long")
+    columns = [f"{x}_{side}" for x in SKETCH for side in ("a", "b")]
+    return pairs.select("a", "b", *columns).mapInArrow(run, "a long, b long, apart long")
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -187,7 +225,7 @@ def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(names, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
 
 
-def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int) -> DataFrame:
+def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int, percent: int) -> DataFrame:
     """Close pairs in buckets that hold several components.
 
     ``buckets`` has key, c, head. Members of the head's component are targets; the others are targets and
@@ -198,19 +236,19 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
     rows = rows.join(heads, "head").withColumn("out", F.col("comp") != F.col("head_comp"))
     rows = stored(rows.select("key", "c", "comp", "out"), "near-open")
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.count_if("out").alias("q")).where("q > 0 and n > 2")
-    rows = rows.join(sizes, "key").join(classes.select("c", "_sign"), "c")
+    rows = rows.join(sizes, "key").join(classes.select("c", *SKETCH), "c")
     t_blocks, q_blocks = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("q") / BLOCK).cast("int")
     own = F.xxhash64("c", "key")
     targets = rows.select(
         "key", F.pmod(own, t_blocks).cast("int").alias("tb"), F.explode(F.sequence(F.lit(0), q_blocks - 1)).alias("qb"),
-        "c", "comp", "_sign", F.lit(False).alias("query"),
+        "c", "comp", *SKETCH, F.lit(False).alias("query"),
     )
     queries = rows.where("out").select(
         "key", F.explode(F.sequence(F.lit(0), t_blocks - 1)).alias("tb"), F.pmod(own, q_blocks).cast("int").alias("qb"),
-        "c", "comp", "_sign", F.lit(True).alias("query"),
+        "c", "comp", *SKETCH, F.lit(True).alias("query"),
     )
     dealt = targets.unionByName(queries).withColumn("_place", F.xxhash64("key", "tb", "qb"))
-    dealt = dealt.repartition("_place").sortWithinPartitions("_place").select("_place", "c", "comp", "_sign", "query")
+    dealt = dealt.repartition("_place").sortWithinPartitions("_place").select("_place", "key", "c", "comp", *SKETCH, "query")
 
     def compare(batches):
         kept: pa.Table | None = None
@@ -223,34 +261,53 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
             last = int(np.searchsorted(places, places[-1]))
             kept = rows.slice(last)
             if last:
-                yield from _compared(rows.slice(0, last), distance)
+                yield from _compared(rows.slice(0, last), distance, percent)
         if kept is not None:
-            yield from _compared(kept, distance)
+            yield from _compared(kept, distance, percent)
 
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def _compared(rows: pa.Table, distance: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a query and a target at one place that are close and in different components."""
+def _compared(rows: pa.Table, distance: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a query and a target at one place that sketches allow, in different components, at their first key."""
     rows = rows.combine_chunks()
     places = rows.column("_place").to_numpy()
-    c, comp, query = (rows.column(n).to_numpy() for n in ("c", "comp", "query"))
-    signs = _signs(rows.column("_sign").chunk(0))
+    key, c, comp, size, query = (rows.column(n).to_numpy() for n in ("key", "c", "comp", "_size", "query"))
     cuts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1, [len(places)]])
     left, right = [], []
     for start, stop in zip(cuts, cuts[1:]):
-        asks = start + np.flatnonzero(query[start:stop])
-        has = start + np.flatnonzero(~query[start:stop])
+        signs = _signs(rows.column("_sign").slice(start, stop - start).combine_chunks())
+        cells = _cells(rows.column("_cells").slice(start, stop - start).combine_chunks())
+        own = chunk_keys(signs, distance).view(np.int64)
+        asks, has = np.flatnonzero(query[start:stop]), np.flatnonzero(~query[start:stop])
+        names, sets = comp[start:stop], size[start:stop]
         for q in asks:
-            other = has[comp[has] != comp[q]]
+            other = has[names[has] != names[q]]
+            other = other[(signs[other] != signs[q]).sum(axis=1) <= distance]
+            if len(other):
+                first = (own[other] == own[q]).argmax(axis=1)
+                other = other[own[q][first] == key[start + q]]
             if len(other):
-                close = other[(signs[other] != signs[q]).sum(axis=1) <= distance]
-                left.append(np.minimum(c[close], c[q]))
-                right.append(np.maximum(c[close], c[q]))
+                other = other[possible(cells[other], cells[q], sets[other], sets[q], percent)[0]]
+                left.append(np.minimum(c[start + other], c[start + q]))
+                right.append(np.maximum(c[start + other], c[start + q]))
     if left:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
 
 
+def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) whose ends are in different components."""
+    names = found.select("node", "component")
+    return (
+        pairs.select("a", "b")
+        .distinct()
+        .join(names.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+        .join(names.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+        .select("a", "b")
+    )
+
+
 def near_copies(
     docs: DataFrame,
     percent: int = 85,
@@ -268,30 +325,22 @@ def near_copies(
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_print"), text.alias("_text"))
     rows = stored(signed(texts, symbols), "near-signatures")
     first = F.min(F.struct(F.col("_id").isNull().alias("_null"), "_id", "_print")).alias("_first")
-    classes = rows.where("_size > 0").groupBy("_digest", "_sign").agg(first)
+    classes = rows.where("_size > 0").groupBy("_digest", *SKETCH).agg(first)
     classes = stored(classes.withColumn("c", F.monotonically_increasing_id()), "near-classes")
 
     found = keyed(classes, distance)
     heads = found.groupBy("key").agg(F.min("c").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
     buckets = stored(found.join(heads, "key"), "near-buckets")
     stars = buckets.where("c <> head").select(F.col("head").alias("a"), F.col("c").alias("b")).distinct()
-    stars = stored(within(stars, classes, distance), "near-stars")
-
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stored(confirmed(nearest, classes, texts, percent), "near-links")
-    linked = components(links)
-    compared = nearest.select("a", "b")
-    rest = stars.join(compared, ["a", "b"], "left_anti").unionByName(open_pairs(buckets, classes, linked, distance))
-    names = linked.select(F.col("node"), "component")
-    rest = (
-        rest.distinct()
-        .join(names.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-        .join(names.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .select("a", "b")
-    )
-    more = stored(confirmed(rest, classes, texts, percent), "near-links")
-    joined = components(links.unionByName(more))
+    stars = stored(within(stars, classes, distance, percent), "near-stars")
+
+    closest = stars.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    links = stored(confirmed(closest, classes, texts, percent), "near-links")
+    joined = components(links)
+    for candidates in (lambda: stars, lambda: open_pairs(buckets, classes, joined, distance, percent)):
+        more = stored(confirmed(_across(candidates(), joined), classes, texts, percent), "near-links")
+        links = links.unionByName(more)
+        joined = components(links)
 
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")
