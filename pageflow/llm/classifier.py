@@ -99,6 +99,7 @@ def fit_rows(rows: list[tuple[np.ndarray, int]], classes: Sequence[str], slots:
     steps = np.full((slots, 1), 1.0)
     share = np.bincount([c for _, c in rows], minlength=len(classes)) + 1.0
     bias = np.log(share / share.sum())
+    bias_steps = 1.0
     used = telling(rows, len(classes), slots)
     rows = [(at[used[at]], c) for at, c in rows]
     order = np.random.default_rng(seed)
@@ -111,6 +112,8 @@ def fit_rows(rows: list[tuple[np.ndarray, int]], classes: Sequence[str], slots:
             p[target] -= 1
             steps[at] += (p**2).sum()
             weights[at] -= LEARNING_RATE * p / np.sqrt(steps[at])
+            bias_steps += (p**2).sum()
+            bias = bias - LEARNING_RATE * p / np.sqrt(bias_steps)
     return Model(list(classes), weights.astype(np.float32), bias)
 
 

@@ -223,7 +223,7 @@ class Items:
             answers.append(last if last else own[-max(1, len(own) // 4) :])
             slots = slots_of(np.array(own, np.uint64))
             directions.append((table[slots] * weights[slots][:, None]).sum(axis=0))
-        vectors = np.array(directions, np.float32).reshape(len(ids), -1)
+        vectors = np.array(directions, np.float32).reshape(len(ids), table.shape[1])
         if len(ids):
             vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         telling, needed = np.zeros((SLOTS, len(ids)), bool), np.zeros(len(ids), np.int64)

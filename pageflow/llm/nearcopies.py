@@ -9,9 +9,9 @@ most one symbol of some chunk. For each chunk and each of its places a key leave
 enumerates the allowed error; so every pair within the distance shares a key.
 
 No bucket of equal keys is expanded into all its pairs. First each member is compared with the smallest
-member of its buckets: the closest of these, then the others as far as components still differ. Only
-buckets that still hold several components go on: members outside the first member's component are
-compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
+member of its buckets and linked with the closest of these; confirmed links give components. Where
+components still differ, the other smallest members follow, and buckets that hold several components go
+on: members outside the first member's component are compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
 first key it shares only. A pair is passed on if its signatures are within the distance and if the counts
 of elements in ``CELLS`` cells of the hash range allow the similarity (their absolute differences add up
 to at most the symmetric difference, so this drops no link). Every pair passed on is confirmed on full
@@ -337,10 +337,10 @@ def near_copies(
     closest = stars.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
     links = stored(confirmed(closest, classes, texts, percent), "near-links")
     joined = components(links)
-    for candidates in (lambda: stars, lambda: open_pairs(buckets, classes, joined, distance, percent)):
-        more = stored(confirmed(_across(candidates(), joined), classes, texts, percent), "near-links")
-        links = links.unionByName(more)
-        joined = components(links)
+    rest = stars.select("a", "b").join(closest, ["a", "b"], "left_anti").unionByName(open_pairs(buckets, classes, joined, distance, percent))
+    more = stored(confirmed(_across(rest, joined), classes, texts, percent), "near-links")
+    if more.head(1):
+        joined = components(links.unionByName(more))
 
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")

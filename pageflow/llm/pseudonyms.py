@@ -94,7 +94,7 @@ class Pseudonyms:
         r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
         r"|(?P<date>(?<![\w-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\w-]))"
         r"|(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))"
-        r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
+        r"|(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))"
         r"|(?P<phone>(?<![\w(+])(?:\+1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\w)"
         r"|(?<![\w+])\+[2-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\w))",
         re.ASCII,

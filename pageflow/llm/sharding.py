@@ -1,11 +1,11 @@
 """Shards of even size that keep linked documents together, by balanced label propagation.
 
 Documents are linked through hubs (here: equal texts). Every document starts in a shard drawn from its
-hash. In each round the members of a hub count, per shard, how many they are; each member asks for
-the shard with most members that still has room, and as many requests are granted as the shard has
-room for, by hash. Counts are grouped by (hub, shard), so a hub with a third of all rows costs a few
-dozen rows. At last all rows are put in the order of shard and hub and cut into equal parts, which
-cuts at most one hub at each border.
+hash. In each round the members of a hub count, per shard, how many they are; members outside the shards
+with most of them ask for one of these that has room, and as many requests are granted as there is room
+for, by hash. Counts are grouped by (hub, shard), so a hub with a third of all rows costs a few
+dozen rows. At last rows without links fill the shards up, and all rows are put in the order of shard
+and hub and cut into equal parts, which evens out what is left.
 
 The law is ``rows``: counts differ by one at most. Results: a NULL text has no bytes; repeated rows and
 NULL ids each take a slot; an empty table gives no rows; other columns are not read.
@@ -33,36 +33,30 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
         held = {r["_shard"]: r["n"] for r in tally.groupBy("_shard").agg(F.sum("_votes").alias("n")).collect()}
         room = {s: max(0.0, quota - held.get(s, 0)) for s in range(shards)}
         rooms = F.create_map(*[F.lit(x) for s in room for x in (s, room[s])])
-        # A hub turns to its fullest shard; if that one has no room, its other members turn to the next.
-        order = F.array_sort(
-            F.collect_list(F.struct((-F.col("_votes")).alias("v"), F.col("_shard").alias("s"))),
-        )
-        ranked = tally.groupBy("_hub").agg(order.alias("_order"))
-        open_ = F.filter("_order", lambda x: F.element_at(rooms, x["s"]) >= 1)
+        # A hub's homes are as many of its fullest shards as its members fill; where these have no room left,
+        # its next ones. Equal votes are ordered by hash, so that small hubs do not all turn to one shard.
+        tie = F.xxhash64("_hub", "_shard")
+        order = F.array_sort(F.collect_list(F.struct((-F.col("_votes")).alias("v"), tie.alias("h"), F.col("_shard").alias("s"))))
+        ranked = tally.groupBy("_hub").agg(order.alias("_order"), F.sum("_votes").alias("_members"))
+        needed = F.ceil(F.col("_members") / quota).cast("int")
+        shards_of = F.transform("_order", lambda x: x["s"])
         ranked = ranked.select(
             "_hub",
-            F.col("_order")[0]["s"].alias("_main"),
-            F.when(F.size(open_) > 0, open_[0]["s"]).alias("_next"),
-            F.when(F.size(open_) > 0, -open_[0]["v"]).alias("_there"),
-        )
-        asked = labels.join(ranked, "_hub")
-        own = tally.withColumnRenamed("_votes", "_own")
-        asked = asked.join(own, ["_hub", "_shard"])
-        moves = (F.col("_next") != F.col("_shard")) & (
-            (F.col("_there") > F.col("_own")) | ((F.col("_there") == F.col("_own")) & (F.col("_next") < F.col("_shard")))
+            F.slice(shards_of, F.lit(1), needed).alias("_main"),
+            F.slice(F.filter(shards_of, lambda x: F.element_at(rooms, x) >= 1), F.lit(1), needed).alias("_open"),
         )
-        wishes = F.when(moves, F.col("_next"))
-        wanted = tally.join(ranked, "_hub").withColumn("_own", F.col("_votes")).where(moves)
-        demand = {r["_next"]: r["n"] for r in wanted.groupBy("_next").agg(F.sum("_votes").alias("n")).collect()}
+        away = (F.size("_open") > 0) & ~F.array_contains(F.concat("_main", "_open"), F.col("_shard"))
+        asking = tally.join(ranked, "_hub").where(away)
+        shares_of = asking.select((F.col("_votes") / F.size("_open")).alias("_n"), F.explode("_open").alias("_to"))
+        demand = {r["_to"]: r["n"] for r in shares_of.groupBy("_to").agg(F.sum("_n").alias("n")).collect()}
         if not demand:
             break
-        share = {s: min(1.0, room[s] / demand[s]) for s in demand}
-        shares = F.create_map(*[F.lit(x) for s in share for x in (s, float(share[s]))])
+        share = F.create_map(*[F.lit(x) for s in demand for x in (s, min(1.0, max(0.0, room[s] - room[s] ** 0.5) / demand[s]))])
+        wish = F.get("_open", F.pmod(F.xxhash64("_row", F.lit(turn + 101)), F.size("_open")).cast("int"))
         drawn = F.pmod(F.xxhash64("_row", F.lit(turn + 7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        granted = wishes.isNotNull() & (drawn < F.element_at(shares, wishes))
-        labels = stored(
-            asked.select("_row", "_hub", F.when(granted, wishes).otherwise(F.col("_shard")).alias("_shard")), "shard-labels"
-        )
+        asked = labels.join(ranked, "_hub").withColumn("_wish", F.when(away, wish))
+        granted = F.col("_wish").isNotNull() & (drawn < F.element_at(share, F.col("_wish")))
+        labels = stored(asked.select("_row", "_hub", F.when(granted, F.col("_wish")).otherwise(F.col("_shard")).alias("_shard")), "shard-labels")
     return labels
 
 
@@ -93,9 +87,17 @@ def balanced_shards(
     total = rows.count()
     hubs = rows.groupBy("_hub").agg(F.count("*").alias("_n")).where("_n > 1").select("_hub")
     labels = propagate(rows.select("_row", "_hub").join(hubs, "_hub", "left_semi"), total, shards, rounds)
-    initial = F.pmod(F.xxhash64("_row", F.lit(1)), F.lit(shards)).cast("int")
-    placed = rows.join(labels.select("_row", F.col("_shard").alias("_linked")), "_row", "left")
-    placed = placed.withColumn("_shard", F.coalesce("_linked", initial))
+    held = {r["_shard"]: r["n"] for r in labels.groupBy("_shard").agg(F.count("*").alias("n")).collect()}
+    # Unlinked rows fill what is left of each shard, in order of their numbers.
+    filled, ends = 0, []
+    for s in range(shards):
+        size = -(-total * (s + 1) // shards) + (-total * s // shards)
+        filled += max(0, size - held.get(s, 0))
+        ends.append(filled)
+    single = running_totals(rows.join(hubs, "_hub", "left_anti"), ["_row"], {"_place": F.lit(1).cast("long")})
+    free = F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e < F.col("_place"))
+    single = single.withColumn("_shard", F.least(F.size(free), F.lit(shards - 1))).drop("_place")
+    placed = rows.join(labels.select("_row", "_shard"), "_row").unionByName(single)
     ranked = running_totals(placed, ["_shard", "_hub", "_row"], {"_rank": F.lit(1).cast("long")})
     place = F.col("_rank") - 1
     # Integer arithmetic: shard s holds the places from ceil(s * total / shards) on.
