@@ -7,14 +7,13 @@ import logging
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pageflow.functions.fixed_values import MAX_RECORDS_PER_FILE
 from pageflow.functions.running import materialize, scratch_path
 from pageflow.operators.features import to_day
-from pageflow.sources.tables import drop_path, read_table, table_bytes, write_table
+from pageflow.sources.tables import drop_path, path_exists, read_table, table_bytes, write_table
 
 log = logging.getLogger(__name__)
 
@@ -62,7 +61,6 @@ def cluster_rewrite(
     path: str,
     dest: str,
     by: Sequence[str] = ("page_title", "count_views"),
-    method: str = "zorder",
     date_col: str = "file_date",
     days: tuple[str | datetime.date, str | datetime.date] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
@@ -70,47 +68,22 @@ def cluster_rewrite(
 ) -> None:
     """Writes a copy of a table in few, clustered files, so that scans can skip by min/max.
 
-    ``"range"`` sorts by the columns in turn, ``"zorder"`` gives them equal weight. All columns take
-    part in the range bounds, so that many rows with one title still spread over several files.
-    Readers move to the copy when it is complete: plain files offer no safe swap in place.
+    Rows are sorted by the columns in turn. All columns take part in the range bounds, so that many
+    rows with one title still spread over several files. ``days`` copies these days (first and last,
+    inclusive) alone. Readers move to the copy when it is complete: plain files offer no safe swap in place.
     """
     if dest.rstrip("/") == path.rstrip("/"):
         raise ValueError("the clustered copy needs a path of its own")
     rows = read_table(spark, path)
-    if days is not None:
-        rows = rows.where(F.col(date_col).between(*[F.lit(to_day(d)) for d in days]))
-    if method == "zorder":
-        keyed, order = add_z_value(rows, by), [date_col, "_z", *by]
-    elif method == "range":
-        keyed, order = rows, [date_col, *by]
+    if days is None:
+        size = table_bytes(spark, path)
     else:
-        raise ValueError(f"method must be 'zorder' or 'range', not {method!r}")
+        first, last = [to_day(d) for d in days]
+        rows = rows.where(F.col(date_col).between(F.lit(first), F.lit(last)))
+        parts = [f"{path}/{date_col}={first + datetime.timedelta(n)}" for n in range((last - first).days + 1)]
+        size = sum(table_bytes(spark, part) for part in parts if path_exists(spark, part))
+    order = [date_col, *by]
     rest = [c for c in rows.columns if c not in order]
-    files = max(1, math.ceil(table_bytes(spark, path) / target_bytes))
-    placed = keyed.repartitionByRange(files, *order, *rest).sortWithinPartitions(*order).select(*rows.columns)
+    files = max(1, math.ceil(size / target_bytes))
+    placed = rows.repartitionByRange(files, *order, *rest).sortWithinPartitions(*order)
     write_table(placed, dest, partition_by=date_col, max_records=max_records, rebalance=False)
-
-
-def add_z_value(df: DataFrame, by: Sequence[str], bits: int = 8) -> DataFrame:
-    """Adds ``_z``: the interleaved bits of each column's approximate quantile bucket."""
-    numbers, buckets = [f"_number_{c}" for c in by], [f"_bucket_{c}" for c in by]
-    numbered = df.select("*", *[order_number(df, c).alias(n) for c, n in zip(by, numbers)])
-    discretizer = QuantileDiscretizer(
-        numBuckets=2**bits, inputCols=numbers, outputCols=buckets, relativeError=2.0 ** -(bits + 2), handleInvalid="keep"
-    )
-    bucketed = discretizer.fit(numbered).transform(numbered)
-    z = F.lit(0).cast("long")
-    for bit in range(bits):
-        for i, bucket in enumerate(buckets):
-            number = F.coalesce(F.col(bucket), F.lit(0.0)).cast("long")
-            here = F.shiftright(number, bit).bitwiseAND(F.lit(1).cast("long"))
-            z = z.bitwiseOR(F.shiftleft(here, bit * len(buckets) + i))
-    return bucketed.withColumn("_z", z).drop(*numbers, *buckets)
-
-
-def order_number(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column; texts count by their first six bytes."""
-    if df.schema[name].dataType.typeName() != "string":
-        return F.col(name).cast("double")
-    head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Mapping, Sequence
 
@@ -24,16 +25,17 @@ from pageflow.functions.fixed_values import (
     SEARCH_FOLDS,
     SEARCH_SPACE,
     SEED,
-    TOP_IMPORTANCES,
 )
 from pageflow.functions.hashing import row_hash
 from pageflow.operators.metrics import classification_report, ranking_metrics
 
 LABEL = "churn"
-# An unlimited depth is not offered by Spark's trees; this is deep for boosting.
-UNLIMITED_DEPTH = 10
-MAX_LEVELS = 1_000
+# Columns with a level for almost every entity. They are hashed at every size of the data.
+HASHED_COLUMNS = ("page_title",)
+# Spark's trees keep a number per feature and row in memory, zeros too, so this width is a cost per row.
 HASHED_FEATURES = 256
+# Rows that a task puts in order when values are permuted.
+PIECE_ROWS = 100_000
 
 
 def column_roles(df: DataFrame, label: str = LABEL) -> tuple[list[str], list[str]]:
@@ -54,14 +56,6 @@ def model_input(df: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
-def wide_columns(df: DataFrame, categorical: Sequence[str], max_levels: int = MAX_LEVELS) -> list[str]:
-    """Categories with more levels than a one-hot encoding should have, by approximate counts."""
-    if not categorical:
-        return []
-    levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    return [c for c in categorical if levels[c] > max_levels]
-
-
 def build_preprocessor(
     categorical: Sequence[str],
     numeric: Sequence[str],
@@ -100,10 +94,12 @@ def build_pipeline(preprocessor: Sequence, label: str = LABEL, seed: int = SEED,
     return Pipeline(stages=[*preprocessor, trees])
 
 
-def pipeline_for(df: DataFrame, label: str = LABEL, max_levels: int = MAX_LEVELS, **tree_params) -> Pipeline:
-    """Pipeline with roles and widths of columns read off the data."""
+def pipeline_for(
+    df: DataFrame, label: str = LABEL, hashed: Sequence[str] = HASHED_COLUMNS, **tree_params
+) -> Pipeline:
+    """Pipeline with roles of columns read off the schema; its stages do not depend on the rows."""
     categorical, numeric = column_roles(df, label)
-    hashed = wide_columns(df, categorical, max_levels)
+    hashed = [c for c in hashed if c in categorical]
     return build_pipeline(build_preprocessor(categorical, numeric, hashed), label, **tree_params)
 
 
@@ -114,10 +110,12 @@ def draw_params(space: Mapping[str, Sequence] = SEARCH_SPACE, draws: int = SEARC
 
 
 def tree_settings(params: Mapping) -> dict:
-    """Names of the search space in terms of Spark's trees (which have no L2 penalty)."""
+    """Names of the search space in terms of Spark's trees (which have no L2 penalty and need a depth)."""
     depth = params.get("max_depth", 5)
+    if depth is None:
+        raise ValueError("Spark's trees need a depth")
     return {
-        "maxDepth": UNLIMITED_DEPTH if depth is None else depth,
+        "maxDepth": depth,
         "stepSize": params.get("learning_rate", 0.1),
         "maxIter": params.get("max_iter", 100),
         "minInstancesPerNode": params.get("min_samples_leaf", 20),
@@ -237,24 +235,26 @@ def permutation_importance(
     label: str = LABEL,
     repeats: int = IMPORTANCE_REPEATS,
     seed: int = SEED,
-    top: int = TOP_IMPORTANCES,
-    ranges: int = 64,
+    top: int | None = None,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Mean drop in accuracy when a feature's values are permuted; the largest drops first.
 
-    All features and repeats are scored in one job.
+    All features are returned unless ``top`` is given. All features and repeats are scored in one job,
+    after one that counts the rows: a task puts about ``piece_rows`` of them in order.
     """
     features = [c for c in df.columns if c != label]
+    ranges = max(1, math.ceil(df.count() / piece_rows))
     base = _accuracy(predict(model, df, [label]), label).select("accuracy").scalar()
     permuted = permuted_copies(df, features, key_cols, repeats, seed, ranges)
     per_repeat = _accuracy(predict(model, permuted, ["feature", "repeat", label]), label, ["feature", "repeat"])
-    return (
+    drops = (
         per_repeat.withColumn("drop", base - F.col("accuracy"))
         .groupBy("feature")
         .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
         .orderBy(F.desc("importance_mean"), "feature")
-        .limit(top)
     )
+    return drops if top is None else drops.limit(top)
 
 
 def _accuracy(scored: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:

@@ -83,10 +83,11 @@ def _between(first, last) -> str:
     return f"file_date between date '{first}' and date '{last}'"
 
 
-def _daily(windows: Windows, name: str = "daily", source: str = "silver") -> str:
+def _daily(windows: Windows | None = None, name: str = "daily", source: str = "silver") -> str:
+    days = "" if windows is None else f"where {_between(windows.obs_start, windows.obs_end)}"
     return f"""{name} as (
   select file_date, cast(dayofweek(file_date) + 1 as integer) as dow, {KEYS}, cast(sum(count_views) as bigint) as views_day
-  from {source} where {_between(windows.obs_start, windows.obs_end)} group by all)"""
+  from {source} {days} group by all)"""
 
 
 def _rolled(name: str = "rolled", daily: str = "daily") -> str:
@@ -231,7 +232,6 @@ quarts as (
 
 
 def oracle_sql() -> dict[str, str]:
-    it_silver = "italian as (select * from silver where language = 'Italian')"
     return {
         "bronze_ingest": f"with {PV} {BRONZE}",
         "bronze_parse_lines": f"with {PV} {BRONZE}",
@@ -337,6 +337,9 @@ def oracle_sql() -> dict[str, str]:
               {_r('sum("DAU_pct")')} as "DAU_pct"
             from shares group by 1, 2""",
         "hourly_profile": f"""with {SILVER}
+            select file_date, cast(substr(file_time, 1, 2) as integer) as hour, cast(sum(count_views) as bigint) as views_hour
+            from silver group by all""",
+        "hourly_profile_until": f"""with {SILVER}
             select file_date, cast(substr(file_time, 1, 2) as integer) as hour, cast(sum(count_views) as bigint) as views_hour
             from silver where file_date <= date '2024-01-10' group by all""",
         "hourly_first_n": f"""with {SILVER}
@@ -353,10 +356,10 @@ def oracle_sql() -> dict[str, str]:
         "weekend_spine": f"""with {SILVER}
             select cast(day as date) as day, dayofweek(day) in (0, 6) as is_weekend
             from (select unnest(generate_series(min(file_date), max(file_date), interval 1 day)) as day from silver)""",
-        "daily_entity_views": f"with {SILVER}, {_daily(TRAIN)} select file_date, dow, {KEYS}, views_day from daily",
-        "rolling_sum_3": f"with {SILVER}, {_daily(TRAIN)}, {_rolled()} select file_date, {KEYS}, views_day, sum_3d from rolled",
-        "rolling_sum_7": f"with {SILVER}, {_daily(TRAIN)}, {_rolled()} select file_date, {KEYS}, views_day, sum_7d from rolled",
-        "rolling_sum_7_calendar_days": f"""with {SILVER}, {_daily(TRAIN)}
+        "daily_entity_views": f"with {SILVER}, {_daily()} select file_date, dow, {KEYS}, views_day from daily",
+        "rolling_sum_3": f"with {SILVER}, {_daily()}, {_rolled()} select file_date, {KEYS}, views_day, sum_3d from rolled",
+        "rolling_sum_7": f"with {SILVER}, {_daily()}, {_rolled()} select file_date, {KEYS}, views_day, sum_7d from rolled",
+        "rolling_sum_7_calendar_days": f"""with {SILVER}, {_daily()}
             select file_date, {KEYS}, views_day, cast(sum(views_day) over (partition by {KEYS} order by file_date
               range between interval 6 days preceding and current row) as bigint) as sum_7d from daily""",
         "last_day_snapshot": f"""with {SILVER}, {_daily(TRAIN)}, {_rolled()}
@@ -386,7 +389,7 @@ def oracle_sql() -> dict[str, str]:
               views_median, {_r('trend_slope')} as trend_slope, first_dow, n_domains, {_r('views_entropy')} as views_entropy,
               {_r('views_entropy_norm')} as views_entropy_norm, is_zero_history, is_sparse, sparsity_level, churn, domain_code
             from full_set""",
-        "train_test_sets": f"""with {SILVER}, {it_silver}, {_core_set(TRAIN, '_train', 'italian')}, {_core_set(TEST, '_test', 'italian')}
+        "train_test_sets": f"""with {SILVER}, {_core_set(TRAIN, '_train')}, {_core_set(TEST, '_test')}
             select 'train' as set_name, {CORE_OUT} from core_train
             union all select 'test' as set_name, {CORE_OUT} from core_test""",
         "churn_rate_by_sparsity": f"""with {SILVER}, {_core_set(TRAIN)}

@@ -34,6 +34,8 @@ from pageflow.plans.fixtures import (
 from pageflow.sources import landing, raw, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Few and shallow trees and a small search space, for time: the operators' defaults (100 to 500 rounds)
+# take minutes on the smallest tables. They fit all train rows; the search takes SEARCH_ROWS labelled ones.
 SMALL_TREES = {"maxIter": 5, "maxDepth": 3}
 SMALL_SPACE = {
     "max_depth": [3, 4],
@@ -183,7 +185,7 @@ def dau_share_one_vs_rest(spark, sf_dir):
     return rounded(kpis.one_vs_rest(kpis.dau_share(silver_log(spark, sf_dir))))
 
 
-def hourly_profile(spark, sf_dir):
+def hourly_profile_until(spark, sf_dir):
     return profiles.hourly_profile(profiles.until(silver_log(spark, sf_dir), datetime.date(2024, 1, 10)))
 
 
@@ -205,7 +207,7 @@ def _daily(spark, sf_dir):
 
 
 def _rolling(n: int, frame: str = "rows") -> Query:
-    return lambda spark, sf_dir: features.rolling_sum(_daily(spark, sf_dir), n, frame=frame).drop("dow")
+    return lambda spark, sf_dir: features.rolling_sum(features.daily_views(silver_log(spark, sf_dir)), n, frame=frame).drop("dow")
 
 
 def last_day_snapshot(spark, sf_dir):
@@ -230,8 +232,7 @@ def _of_churn(operator: Callable[..., DataFrame], *args, kind: str = "core", **o
 
 
 def train_test_sets(spark, sf_dir):
-    italian = silver_log(spark, sf_dir).where(F.col("language") == "Italian")
-    return rounded(churn.train_test_sets(italian, TRAIN, TEST))
+    return rounded(churn.train_test_sets(silver_log(spark, sf_dir), TRAIN, TEST))
 
 
 # ---- tables and late data
@@ -261,12 +262,12 @@ def late_upsert(spark, sf_dir):
     return _stamped(tables.read_table(spark, path, rows.schema), *SILVER_COLUMNS)
 
 
-def _clustered(method: str) -> Query:
+def _clustered(*by: str) -> Query:
     def query(spark, sf_dir):
         rows = silver_log(spark, sf_dir)
         path, dest = scratch_path(spark, "silver"), scratch_path(spark, "clustered")
         tables.write_table(rows, path)
-        maintenance.cluster_rewrite(spark, path, dest, method=method)
+        maintenance.cluster_rewrite(spark, path, dest, by)
         return tables.read_table(spark, dest, rows.schema)
 
     return query
@@ -358,7 +359,7 @@ def model_search(spark, sf_dir):
 
 def permutation_importance(spark, sf_dir):
     train, test = _train_parts(spark, sf_dir)
-    return modeling.permutation_importance(_fitted(train), test, repeats=3)
+    return modeling.permutation_importance(_fitted(train), test)
 
 
 def external_evaluation(spark, sf_dir):
@@ -406,12 +407,13 @@ def queries() -> dict[str, Query]:
         "top_pages_daily": _of_silver(kpis.page_rank, 3),
         "dau_share": _of_silver(kpis.dau_share),
         "dau_share_one_vs_rest": dau_share_one_vs_rest,
-        "hourly_profile": hourly_profile,
+        "hourly_profile": _of_silver(profiles.hourly_profile),
+        "hourly_profile_until": hourly_profile_until,
         "hourly_first_n": _of_silver(profiles.hourly_profile, first_n=218),
         "daily_profile": _of_silver(profiles.daily_profile),
         "daily_vs_hourly": lambda spark, sf_dir: rounded(profiles.daily_vs_hourly(silver_log(spark, sf_dir)), 6),
         "weekend_spine": _of_silver(profiles.weekend_spine_of),
-        "daily_entity_views": _daily,
+        "daily_entity_views": _of_silver(features.daily_views),
         "rolling_sum_3": _rolling(3),
         "rolling_sum_7": _rolling(7),
         "rolling_sum_7_calendar_days": _rolling(7, "days"),
@@ -429,8 +431,8 @@ def queries() -> dict[str, Query]:
         "feature_box_stats": _of_churn(explore.feature_box_stats, kind="full"),
         "dedup_latest": dedup_latest,
         "late_upsert": late_upsert,
-        "cluster_rewrite": _clustered("zorder"),
-        "cluster_rewrite_range": _clustered("range"),
+        "cluster_rewrite": _clustered("count_views", "page_title"),
+        "cluster_rewrite_range": _clustered("page_title", "count_views"),
         "sample_fraction": _of_silver(sampling.sample_fraction, 0.05, EVENT_KEY),
         "sample_n": _of_churn(sampling.sample_n, 500, ENTITY_KEYS),
         "stratified_split": _split(exact=False),

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.functions.fixed_values import ENTITY_KEYS, EVALUATION_ROWS, SEARCH_ROWS, SEARCH_SPACE
+from pageflow.functions.fixed_values import ENTITY_KEYS, SEARCH_ROWS, SEARCH_SPACE
 from pageflow.functions.running import materialize
 from pageflow.operators import kpis, modeling, sampling
 from pageflow.operators.cleaning import silver
@@ -38,14 +38,16 @@ def gold_step(
     set_paths: Mapping[str, str],
     train: Windows,
     test: Windows,
-    language: str = "Italian",
+    language: str | None = "Italian",
     languages: Sequence[str] = ("English", "Italian", "French", "German", "Spanish"),
 ) -> dict[str, DataFrame]:
-    """Per-language tables, and the train and test sets of one language from one pass over it."""
+    """Per-language tables, and the train and test sets of one language (None: of all) from one pass over it."""
     require_paths(spark, silver_path)
-    by_language = split_by_language(read_table(spark, silver_path), languages, languages_path)
+    views = read_table(spark, silver_path)
+    by_language = split_by_language(views, languages, languages_path)
+    chosen = views if language is None else by_language[language]
     # Stored once, as each of the two tables is written from it.
-    both = materialize(train_test_sets(by_language[language], train, test))
+    both = materialize(train_test_sets(chosen, train, test))
     for name, path in set_paths.items():
         rows = both.where(F.col(SET_NAME) == name).drop(SET_NAME)
         write_table(rows, path, partition_by="days_active")
@@ -74,27 +76,24 @@ def train_step(
     test_path: str,
     space: Mapping[str, Sequence] = SEARCH_SPACE,
     search_rows: int = SEARCH_ROWS,
-    evaluation_rows: int = EVALUATION_ROWS,
 ) -> tuple[PipelineModel, dict[str, DataFrame]]:
-    """Search on the train split, metrics on a hold-out sample and on the later set, importances."""
-    require_paths(spark, train_path, test_path)
-    parts = {}
-    for name, path in (("train", train_path), ("test", test_path)):
-        split = sampling.stratified_split(read_table(spark, path, CORE_SCHEMA), "churn", ENTITY_KEYS)
-        parts[name] = [modeling.model_input(part) for part in sampling.split_parts(split)]
-    fit_rows, held_out = parts["train"]
-    later = parts["test"][1]
+    """Search and fit on the train split, metrics on all held-out rows and on the whole later set, importances.
 
-    small = sampling.sample_n(fit_rows, search_rows, ENTITY_KEYS)
-    search = modeling.hyperparameter_search(modeling.pipeline_for(small), small, space=space)
-    model = search.bestModel
+    The search compares settings on ``search_rows`` labelled rows; the best ones are fitted on the whole split.
+    """
+    require_paths(spark, train_path, test_path)
+    split = sampling.stratified_split(read_table(spark, train_path, CORE_SCHEMA), "churn", ENTITY_KEYS)
+    fit_rows, held_out = [modeling.model_input(part) for part in sampling.split_parts(split)]
+    later = modeling.model_input(read_table(spark, test_path, CORE_SCHEMA))
 
-    def sampled(rows: DataFrame) -> DataFrame:
-        return sampling.sample_n(rows, evaluation_rows, ENTITY_KEYS)
+    pipeline = modeling.pipeline_for(fit_rows)
+    search = modeling.hyperparameter_search(pipeline, sampling.sample_n(fit_rows, search_rows, ENTITY_KEYS), space=space)
+    best = max(range(len(search.avgMetrics)), key=search.avgMetrics.__getitem__)
+    model = pipeline.fit(fit_rows, search.getEstimatorParamMaps()[best])
 
     results = {"search": modeling.search_results(spark, search)}
     for name, rows in (("hold_out", held_out), ("external", later)):
-        for part, table in modeling.evaluate_model(model, sampled(rows), name).items():
+        for part, table in modeling.evaluate_model(model, rows, name).items():
             results[f"{name}_{part}"] = table
     results["importance"] = modeling.permutation_importance(model, held_out)
     return model, results

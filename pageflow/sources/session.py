@@ -20,11 +20,8 @@ SETTINGS = {
 
 
 def create_spark(app_name: str = "pageflow", **settings: str) -> SparkSession:
-    """Session with adaptive execution; shuffle partitions follow the cluster's parallelism."""
+    """Session with adaptive execution; the number of shuffle partitions stays as the cluster or caller set it."""
     builder = SparkSession.builder.appName(app_name)
     for name, value in {**SETTINGS, **settings}.items():
         builder = builder.config(name, value)
-    spark = builder.getOrCreate()
-    if "spark.sql.shuffle.partitions" not in settings:
-        spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    return spark
+    return builder.getOrCreate()

@@ -28,12 +28,22 @@ def data(spark):
 @pytest.fixture(scope="module")
 def model(data):
     rows = modeling.model_input(data)
-    return modeling.pipeline_for(rows, max_levels=50, maxIter=3, maxDepth=2).fit(rows)
+    return modeling.pipeline_for(rows, maxIter=3, maxDepth=2).fit(rows)
 
 
 def test_roles(data):
     assert modeling.column_roles(data) == (["page_title", "language", "is_mobile"], ["days_active", "noise"])
-    assert modeling.wide_columns(data.drop("is_mobile"), ["page_title", "language"], 50) == ["page_title"]
+
+
+@pytest.mark.parametrize("size", ["0.001", "0.01", "0.1"])
+def test_stages_do_not_depend_on_the_rows(spark, data, size):
+    """Titles are hashed whether there are few or very many."""
+    rows = modeling.model_input(data.limit(int(float(size) * 400) + 1))
+    stages = modeling.pipeline_for(rows).getStages()
+    assert [type(s).__name__ for s in stages] == [
+        "StringIndexer", "OneHotEncoder", "FeatureHasher", "VectorAssembler", "StandardScaler", "VectorAssembler", "GBTClassifier"
+    ]
+    assert stages[2].getInputCols() == ["page_title"]
 
 
 def test_unknown_level_is_zero(spark, data):
@@ -79,9 +89,13 @@ def test_importance_finds_the_cause(model, data):
     rows = modeling.model_input(data)
     top = modeling.permutation_importance(model, rows, ["page_title"], repeats=2).collect()
     assert top[0].feature == "days_active" and top[0].importance_mean > 0.2
+    assert {r.feature for r in top} == set(rows.columns) - {"churn"}
+    assert modeling.permutation_importance(model, rows, ["page_title"], repeats=1, top=1).count() == 1
 
 
 def test_draws():
     draws = modeling.draw_params()
     assert len(draws) == 2 and draws == modeling.draw_params() and draws != modeling.draw_params(seed=1)
-    assert modeling.tree_settings({"max_depth": None})["maxDepth"] == modeling.UNLIMITED_DEPTH
+    assert modeling.tree_settings({"max_depth": 10})["maxDepth"] == 10
+    with pytest.raises(ValueError):
+        modeling.tree_settings({"max_depth": None})

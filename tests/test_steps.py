@@ -2,7 +2,9 @@
 
 import pytest
 
+from pageflow.functions.fixed_values import ENTITY_KEYS
 from pageflow.functions.running import scratch_path
+from pageflow.operators import sampling
 from pageflow.plans import steps
 from pageflow.plans.fixtures import SILVER_COLUMNS, TEST, TRAIN, land_raw_files, log_lines, page_log
 from pageflow.sources.tables import path_exists
@@ -31,6 +33,9 @@ def test_pipeline(spark):
 
     model, results = steps.train_step(spark, paths["train"], paths["test"], space=TINY_SPACE)
     assert {"search", "hold_out_ranking", "hold_out_report", "external_ranking", "external_report", "importance"} == set(results)
-    assert results["search"].count() == 2 and results["importance"].count() <= 10
+    assert results["search"].count() == 2 and results["importance"].count() == len(sets["train"].columns) - 1
+    split = sampling.stratified_split(sets["train"], "churn", ENTITY_KEYS)
+    support = {n: results[f"{n}_report"].where("class = 'accuracy'").first().support for n in ("hold_out", "external")}
+    assert support == {"hold_out": split.where("is_test").count(), "external": sets["test"].count()}
     with pytest.raises(FileNotFoundError):
         steps.train_step(spark, paths["train"], "/tmp/nowhere")

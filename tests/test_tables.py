@@ -75,8 +75,7 @@ def test_upsert_refuses_other_days(spark, table):
     assert content(tables.read_table(spark, path, rows.schema)) == before
 
 
-@pytest.mark.parametrize("method", ["zorder", "range"])
-def test_clustering_keeps_rows_and_narrows_files(spark, method):
+def test_clustering_keeps_rows_and_narrows_files(spark):
     # One title holds a third of the rows.
     rows = spark.range(30_000).select(
         F.lit(DAY).alias("file_date"),
@@ -85,7 +84,7 @@ def test_clustering_keeps_rows_and_narrows_files(spark, method):
     )
     path, dest = scratch_path(spark, "flat"), scratch_path(spark, "clustered")
     tables.write_table(rows.repartition(8), path, rebalance=False)
-    cluster_rewrite(spark, path, dest, method=method, target_bytes=tables.table_bytes(spark, path) // 8)
+    cluster_rewrite(spark, path, dest, target_bytes=tables.table_bytes(spark, path) // 8)
     after = tables.read_table(spark, dest)
     assert content(after) == content(tables.read_table(spark, path))
 
@@ -104,6 +103,20 @@ def test_clustering_keeps_rows_and_narrows_files(spark, method):
         cluster_rewrite(spark, path, path)
 
 
+def test_clustering_of_days_sizes_files_by_these_days(spark):
+    """One of three days of equal size is written as a third of the files."""
+    rows = spark.range(9_000).select(
+        F.date_add(F.lit(DAY), (F.col("id") % 3).cast("int")).alias("file_date"),
+        F.md5(F.col("id").cast("string")).alias("page_title"),
+        F.col("id").alias("count_views"),
+    )
+    path, dest = scratch_path(spark, "flat"), scratch_path(spark, "clustered")
+    tables.write_table(rows, path)
+    cluster_rewrite(spark, path, dest, days=(DAY, DAY), target_bytes=tables.table_bytes(spark, path) // 6 + 1)
+    after = spark.read.parquet(dest)
+    assert after.count() == 3_000 and len(after.inputFiles()) == 2
+
+
 def test_language_tables_are_pruned(spark, table):
     _, rows = table
     parts = tables.split_by_language(rows, ["English", "Italian"], scratch_path(spark, "languages"))
@@ -130,6 +143,11 @@ def test_inventory(spark, tmp_path):
 
 
 def test_session_factory(spark):
-    conf = spark.conf.get("spark.sql.shuffle.partitions")
-    assert create_spark(**{"spark.sql.shuffle.partitions": conf}) is not None
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "777")
+    try:
+        assert create_spark() is not None
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "777"
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
