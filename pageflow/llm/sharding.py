@@ -3,9 +3,11 @@
 Documents are linked through hubs (here: equal texts). Every document starts in a shard drawn from its
 hash. In each round the members of a hub count, per shard, how many they are; members outside the shards
 with most of them ask for one of these that has room, and as many requests are granted as there is room
-for, by hash. Counts are grouped by (hub, shard), so a hub with a third of all rows costs a few
+for, by hash. A hub no larger than a shard asks as a whole for the shard with most of its members among
+those that have room for the rest. Counts are grouped by (hub, shard), so a hub with a third of all rows costs a few
 dozen rows. At last rows without links fill the shards up, and all rows are put in the order of shard
-and hub and cut into equal parts, which evens out what is left.
+and hub, those without links at the end of their shard, and cut into equal parts. This evens out what is
+left, and where a shard is too full it is mostly rows without links that move on.
 
 The law is ``rows``: counts differ by one at most. Results: a NULL text has no bytes; repeated rows and
 NULL ids each take a slot; an empty table gives no rows; other columns are not read.
@@ -40,10 +42,16 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
         ranked = tally.groupBy("_hub").agg(order.alias("_order"), F.sum("_votes").alias("_members"))
         needed = F.ceil(F.col("_members") / quota).cast("int")
         shards_of = F.transform("_order", lambda x: x["s"])
+        # A hub no larger than a shard goes whole to the fullest of its shards that has room for the others.
+        fits = F.filter("_order", lambda x: F.element_at(rooms, x["s"]) - x["v"] >= F.col("_members"))
+        home = F.slice(F.transform(fits, lambda x: x["s"]), 1, 1)
+        whole = (needed == 1) & (F.size(fits) > 0)
         ranked = ranked.select(
             "_hub",
-            F.slice(shards_of, F.lit(1), needed).alias("_main"),
-            F.slice(F.filter(shards_of, lambda x: F.element_at(rooms, x) >= 1), F.lit(1), needed).alias("_open"),
+            F.when(whole, home).otherwise(F.slice(shards_of, F.lit(1), needed)).alias("_main"),
+            F.when(whole, home)
+            .otherwise(F.slice(F.filter(shards_of, lambda x: F.element_at(rooms, x) >= 1), F.lit(1), needed))
+            .alias("_open"),
         )
         away = (F.size("_open") > 0) & ~F.array_contains(F.concat("_main", "_open"), F.col("_shard"))
         asking = tally.join(ranked, "_hub").where(away)
@@ -97,8 +105,9 @@ def balanced_shards(
     single = running_totals(rows.join(hubs, "_hub", "left_anti"), ["_row"], {"_place": F.lit(1).cast("long")})
     free = F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e < F.col("_place"))
     single = single.withColumn("_shard", F.least(F.size(free), F.lit(shards - 1))).drop("_place")
-    placed = rows.join(labels.select("_row", "_shard"), "_row").unionByName(single)
-    ranked = running_totals(placed, ["_shard", "_hub", "_row"], {"_rank": F.lit(1).cast("long")})
+    linked = rows.join(labels.select("_row", "_shard"), "_row").withColumn("_alone", F.lit(False))
+    placed = linked.unionByName(single.withColumn("_alone", F.lit(True)))
+    ranked = running_totals(placed, ["_shard", "_alone", "_hub", "_row"], {"_rank": F.lit(1).cast("long")})
     place = F.col("_rank") - 1
     # Integer arithmetic: shard s holds the places from ceil(s * total / shards) on.
     cut = F.expr(f"(_rank - 1) * {shards}L div {max(total, 1)}L")
