@@ -1,11 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are cut into blocks of sixteen words; two or four blocks in a row form a passage. Terms are words
-hashed to a fixed number of slots. Three scans: (1) passage frequencies of the slots; (2) a sketch
-Z = A'(A W) of the TF-IDF matrix A of all blocks with a random matrix W, summed over tasks, from which the
-leading singular vectors follow on the driver (Nystrom's form of the randomised SVD; Z has a fixed size,
-slots times rank); (3) every passage is projected and compared with the benchmark's items by cosine, and each
-candidate is checked on the words themselves. An item counts as leaked where the longest common subsequence
+hashed to a fixed number of slots. The distinct blocks are stored once, so that copies do not count. Three
+scans: (1) frequencies of the slots in distinct blocks; (2) a sketch Z = A'(A W) of the TF-IDF matrix A of
+these blocks with a random matrix W, summed over tasks, from which the leading singular vectors follow on the
+driver (Nystrom's form of the randomised SVD; Z has a fixed size, slots times rank); (3) every passage is
+projected and compared with the benchmark's items by cosine, and each candidate is checked on the words
+themselves. A second path gives more candidates, whatever the weights: texts that share a run of ``RUN_WORDS``
+words with an item. Words of items that would have few weighted words keep a weight. An item counts as leaked where the longest common subsequence
 with the text around the passage covers ``share`` of its words, or ``loose`` of them together with the item's
 answer (its last sentence, or else its last quarter). Items are compared in blocks of bounded size.
 
@@ -24,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import bytes_of, digest_of, slices, text_of
-from pageflow.llm.words import LETTERS, word_hashes
+from pageflow.llm.common import CHUNK_BYTES, bytes_of, digest_of, slices, stored, text_of
+from pageflow.llm.words import LETTERS, windows, word_hashes
 
 SLOTS = 1 << 14
 RANK = 96
@@ -34,6 +36,10 @@ BLOCK_WORDS = 16
 # Passages: blocks in a row, and at which blocks of a text one starts.
 PASSAGES = ((2, 1), (4, 2))
 COMMON, LEAST_COMMON = 0.01, 8
+# Items with a smaller share of weighted words have weights of at least FLOOR for all their words.
+LEAST_WEIGHTED, FLOOR = 0.25, 0.1
+RUN_WORDS = 5
+RUN_BITS = 20
 COSINE = 0.45
 SHARE, LOOSE = 0.8, 0.6
 LEAST_WORDS = 8
@@ -60,23 +66,44 @@ def block_ids(starts: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
 
 
-def passage_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """Blocks that have each slot, and the number of blocks."""
+def distinct_blocks(rows: DataFrame) -> DataFrame:
+    """The slots of every block (two bytes each, in word order), equal blocks once."""
 
     def run(batches):
-        seen, total = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
             for part in slices(batch, "_text"):
                 hashes, _, starts, _ = blocks_of(*bytes_of(part.column("_text")))
+                ends = pa.py_buffer(np.append(starts, len(hashes)).astype(np.int32) * 2)
+                data = pa.py_buffer(slots_of(hashes).astype("<u2"))
+                found = pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, data])
+                yield pa.RecordBatch.from_arrays([found.unique()], ["slots"])
+
+    return stored(rows.mapInArrow(run, "slots binary").distinct(), "leak-blocks")
+
+
+def slots_in(batch: pa.RecordBatch):
+    """Slots and first slot of each block, for parts of a batch of blocks."""
+    for part in slices(batch, "slots", CHUNK_BYTES // 4):
+        data, ends = bytes_of(part.column("slots"))
+        yield np.frombuffer(data.tobytes(), "<u2").astype(np.int64), ends[:-1] // 2
+
+
+def passage_frequencies(blocks: DataFrame) -> tuple[np.ndarray, int]:
+    """Distinct blocks that have each slot, and the number of distinct blocks."""
+
+    def run(batches):
+        seen, total = np.zeros(SLOTS, np.int64), 0
+        for batch in batches:
+            for slots, starts in slots_in(batch):
                 kind = np.int32 if len(starts) * SLOTS < 1 << 31 else np.int64
-                pairs = np.sort((block_ids(starts, len(hashes)) * SLOTS + slots_of(hashes)).astype(kind))
+                pairs = np.sort((block_ids(starts, len(slots)) * SLOTS + slots).astype(kind))
                 pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
                 seen += np.bincount(pairs % SLOTS, minlength=SLOTS)
                 total += len(starts)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(seen[used], total))], ["slot", "n"])
 
-    found = rows.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    found = blocks.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     seen = np.zeros(SLOTS, np.int64)
     total = 0
     for r in found:
@@ -93,6 +120,28 @@ def term_weights(seen: np.ndarray, total: int) -> np.ndarray:
     return np.where(seen <= max(COMMON * total, LEAST_COMMON), idf, 0.0).astype(np.float32)
 
 
+def floored(weights: np.ndarray, seen: np.ndarray, total: int, items: DataFrame) -> np.ndarray:
+    """The weights, with one for every word of items (column ``text``) that have few weighted words."""
+    sent = items.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        kept = np.zeros(SLOTS, bool)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, before = word_hashes(*bytes_of(part.column("text")), LETTERS)
+                slots = slots_of(hashes)
+                counts = np.diff(before)
+                owner = np.repeat(np.arange(len(counts)), counts)
+                weighted = np.bincount(owner, weights=sent.value[slots] > 0, minlength=len(counts))
+                kept[slots[(weighted < LEAST_WEIGHTED * counts)[owner]]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(kept), pa.int64())], ["slot"])
+
+    kept = np.array([r["slot"] for r in items.select("text").mapInArrow(run, "slot long").distinct().collect()], np.int64)
+    out = weights.copy()
+    out[kept] = np.maximum(np.log((1 + total) / (1 + seen[kept])), FLOOR)
+    return out
+
+
 def weighted_blocks(slots: np.ndarray, starts: np.ndarray, weights: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Per block the weighted sum of the table's rows at its slots."""
     scaled = np.zeros((SLOTS + 1, table.shape[1]), np.float32)
@@ -129,9 +178,9 @@ def add_rows(total: np.ndarray, slots: np.ndarray, ids: np.ndarray, rows: np.nda
         total[slots[heads + k]] += rows[ids[heads + k]]
 
 
-def sketch(rows: DataFrame, weights: np.ndarray, width: int) -> np.ndarray:
-    """A'(A W) over all blocks, W being random normal."""
-    sent = rows.sparkSession.sparkContext.broadcast(weights)
+def sketch(blocks: DataFrame, weights: np.ndarray, width: int) -> np.ndarray:
+    """A'(A W) over the distinct blocks, W being random normal."""
+    sent = blocks.sparkSession.sparkContext.broadcast(weights)
     columns = [f"z{k}" for k in range(width)]
 
     def run(batches):
@@ -139,9 +188,7 @@ def sketch(rows: DataFrame, weights: np.ndarray, width: int) -> np.ndarray:
         random = np.random.default_rng(SEED).standard_normal((SLOTS, width)).astype(np.float32)
         total = np.zeros((SLOTS, width), np.float64)
         for batch in batches:
-            for part in slices(batch, "_text"):
-                hashes, _, starts, _ = blocks_of(*bytes_of(part.column("_text")))
-                slots = slots_of(hashes)
+            for slots, starts in slots_in(batch):
                 seen = weighted_blocks(slots, starts, own, random)
                 used = np.flatnonzero(own[slots])
                 if len(used):
@@ -151,7 +198,7 @@ def sketch(rows: DataFrame, weights: np.ndarray, width: int) -> np.ndarray:
         arrays = [pa.array(filled), *[pa.array(total[filled, k]) for k in range(width)]]
         yield pa.RecordBatch.from_arrays(arrays, ["slot", *columns])
 
-    summed = rows.mapInArrow(run, "slot long, " + ", ".join(f"{c} double" for c in columns))
+    summed = blocks.mapInArrow(run, "slot long, " + ", ".join(f"{c} double" for c in columns))
     z = np.zeros((SLOTS, width))
     for r in summed.groupBy("slot").agg(*[F.sum(c).alias(c) for c in columns]).toLocalIterator():
         z[r[0]] = r[1:]
@@ -208,6 +255,9 @@ class Items:
     directions: np.ndarray
     telling: np.ndarray  # (slots, items): slots of an item's words that have a weight
     needed: np.ndarray  # fewest of these words in a text around a leak
+    runs: np.ndarray  # ascending hashes of runs of words, and the item of each
+    run_items: np.ndarray
+    run_bits: np.ndarray  # which leading bits these hashes have
 
     @staticmethod
     def of(rows: list[tuple[int, str]], weights: np.ndarray, table: np.ndarray) -> Items:
@@ -232,8 +282,21 @@ class Items:
             slots = slots[weights[slots] > 0]
             telling[slots, i] = True
             # A share LOOSE of all words must be there, so at most the rest of the telling ones may be missing.
-            needed[i] = max(1, len(slots) - int((1 - LOOSE) * len(own) + 1e-9))
-        return Items(ids, words, answers, vectors, telling, needed)
+            needed[i] = max(0, len(slots) - int((1 - LOOSE) * len(own) + 1e-9))
+        return Items(ids, words, answers, vectors, telling, needed, *_runs(words))
+
+
+def _runs(words: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of RUN_WORDS words of the items in ascending order, their items, and their leading bits."""
+    before = np.cumsum([0, *map(len, words)])
+    hashes, offsets = windows(np.array([w for own in words for w in own], np.uint64), before, RUN_WORDS)
+    items = np.repeat(np.arange(len(words)), np.diff(offsets))
+    order = np.lexsort((items, hashes))
+    hashes, items = hashes[order], items[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (items[1:] != items[:-1]))[: len(hashes)]
+    bits = np.zeros(1 << RUN_BITS, bool)
+    bits[hashes >> np.uint64(64 - RUN_BITS)] = True
+    return hashes[new], items[new], bits
 
 
 def _words(text: str) -> list[int]:
@@ -288,9 +351,36 @@ def _leaks(part, own: Items, lookups, weights, basis, cosine: float) -> dict[int
             if len(block):
                 values = near[block, item]
                 _checked(found, own, lookups, hashes, slots, telling, before, starts, owner, some[block], stop[block], item, values)
+    for block, item in _sharing(own, hashes, before, starts):
+        values = np.full(len(block), -1.0)
+        for width, _ in PASSAGES:
+            passage = sums[np.minimum(block + width, last[block])] - sums[block]
+            size = np.maximum(np.linalg.norm(passage, axis=1), 1e-12)
+            values = np.maximum(values, (passage * own.directions[item]).sum(axis=1) / size)
+        _checked(found, own, lookups, hashes, slots, telling, before, starts, owner, block, block + 1, item, values)
     return found
 
 
+def _sharing(own: Items, hashes, before, starts):
+    """Blocks in which a run of words starts that an item has too, with the item; no pair twice in a part."""
+    runs, offsets = windows(hashes, before, RUN_WORDS)
+    at = np.flatnonzero(own.run_bits[runs >> np.uint64(64 - RUN_BITS)])
+    low, high = np.searchsorted(own.runs, runs[at]), np.searchsorted(own.runs, runs[at], side="right")
+    at, low, counts = at[high > low], low[high > low], (high - low)[high > low]
+    text = np.searchsorted(offsets, at, side="right") - 1
+    block = np.searchsorted(starts, at - offsets[text] + before[text], side="right") - 1
+    ends = np.cumsum(counts)
+    head = 0
+    while head < len(at):
+        stop = max(head + 1, int(np.searchsorted(ends, ends[head] - counts[head] + (1 << 16), side="right")))
+        part = slice(head, stop)
+        n = counts[part]
+        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[part], n)
+        pairs = np.unique(np.repeat(block[part], n) * len(own.ids) + own.run_items[place])
+        yield pairs // len(own.ids), pairs % len(own.ids)
+        head = stop
+
+
 def _checked(found, own: Items, lookups, hashes, slots, telling, before, starts, owner, block, stop, item, values) -> None:
     """Adds the candidates (passages from ``block`` to ``stop``, items) that hold on the words themselves."""
     sizes = np.array([len(w) for w in own.words])[item]
@@ -328,13 +418,13 @@ def leaks(
 ) -> DataFrame:
     """Documents with leaked items, one row for each: ``_id``, ``_digest``, ``leaks``."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), digest_of(text_col).alias("_digest"), text_of(text_col).alias("_text"))
-    texts = rows.select("_text")
-    seen, total = passage_frequencies(texts)
-    weights = term_weights(seen, total)
-    table = projection(*latent(sketch(texts, weights, RANK + OVERSAMPLE), RANK))
     known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where(
         "item is not null and text is not null"
     )
+    blocks = distinct_blocks(rows.select("_text"))
+    seen, total = passage_frequencies(blocks)
+    weights = floored(term_weights(seen, total), seen, total, known)
+    table = projection(*latent(sketch(blocks, weights, RANK + OVERSAMPLE), RANK))
     found = None
     held: list[tuple[int, str]] = []
 

@@ -122,6 +122,31 @@ def test_leaks(spark, documents, odd):
     assert {r.contaminated for r in decontaminate.contamination(documents(rows[:5]), bench.limit(0)).collect()} == {False}
 
 
+@pytest.mark.parametrize("edits", [0, 12])
+def test_leaks_in_a_large_group_of_copies(spark, documents, edits):
+    """An item in a document that a third of all rows copy, with or without edits, is found there and elsewhere."""
+    rng = random.Random(11)
+    text = lambda n: [f"v{rng.randrange(3_000)}" for _ in range(n)]
+    item = text(30)
+    base = text(200)
+    rows, want = [], set()
+    for k in range(300):
+        words = text(rng.randint(50, 400))
+        if k % 3 == 0:
+            words = list(base)
+            for _ in range(edits):
+                words[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+            words = text(rng.randrange(edits + 1)) + words[:90] + item + words[90:]
+        elif k % 10 == 1:
+            words[20:20] = item
+        if k % 3 == 0 or k % 10 == 1:
+            want.add(k)
+        rows.append((k, " ".join(words)))
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(text(40)))], "item_id long, text string")
+    got = decontaminate.contamination(documents(rows), bench).collect()
+    assert {r._id: r.item_ids for r in got if r.contaminated} == {k: [1] for k in want}
+
+
 def test_sketch_gives_singular_vectors():
     rng = np.random.default_rng(1)
     old, decontaminate.SLOTS = decontaminate.SLOTS, 64
