@@ -6,13 +6,13 @@ scans: (1) frequencies of the slots in distinct blocks; (2) a sketch Z = A'(A W)
 these blocks with a random matrix W, summed over tasks, from which the leading singular vectors follow on the
 driver (Nystrom's form of the randomised SVD; Z has a fixed size, slots times rank); (3) every passage is
 projected and compared with the benchmark's items by cosine, and each candidate is checked on the words
-themselves. A second path gives more candidates, whatever the weights: texts that share a run of ``RUN_WORDS``
+themselves. Items longer than a passage are compared piece by piece too, and checked whole. A second path gives more candidates, whatever the weights: texts that share a run of ``RUN_WORDS``
 words with an item. Words of items that would have few weighted words keep a weight. An item counts as leaked where the longest common subsequence
 with the text around the passage covers ``share`` of its words, or ``loose`` of them together with the item's
 answer (its last sentence, or else its last quarter). Items are compared in blocks of bounded size.
 
-Results: NULL and empty texts and items match nothing; items with fewer than ``LEAST_WORDS`` words are not
-searched; repeated rows each give a row, NULL ids too; an empty benchmark leaves all documents clean; an
+Results: NULL and empty texts and items match nothing; items with fewer than ``LEAST_WORDS`` words are found
+where their words stand in a row, all of them; repeated rows each give a row, NULL ids too (also of items); an empty benchmark leaves all documents clean; an
 empty table gives no rows; other columns are not read.
 """
 
@@ -252,19 +252,22 @@ class Items:
     ids: list
     words: list[list[int]]
     answers: list[list[int]]
-    directions: np.ndarray
+    directions: np.ndarray  # of each item, and then of the pieces of long ones
+    owners: np.ndarray  # the item of each direction
     telling: np.ndarray  # (slots, items): slots of an item's words that have a weight
     needed: np.ndarray  # fewest of these words in a text around a leak
     runs: np.ndarray  # ascending hashes of runs of words, and the item of each
     run_items: np.ndarray
     run_bits: np.ndarray  # which leading bits these hashes have
+    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # the same for whole items of so many words, below LEAST_WORDS
 
     @staticmethod
     def of(rows: list[tuple[int, str]], weights: np.ndarray, table: np.ndarray) -> Items:
-        ids, words, answers, directions = [], [], [], []
+        ids, words, answers, directions, pieces, owners = [], [], [], [], [], []
+        longest = max(width for width, _ in PASSAGES) * BLOCK_WORDS
         for item_id, text in rows:
             own = _words(text)
-            if len(own) < LEAST_WORDS:
+            if not own:
                 continue
             parts = [p for p in re.split(r"(?<=[.!?])\s+", text.strip()) if p]
             last = _words(parts[-1]) if len(parts) > 1 else []
@@ -272,8 +275,13 @@ class Items:
             words.append(own)
             answers.append(last if last else own[-max(1, len(own) // 4) :])
             slots = slots_of(np.array(own, np.uint64))
-            directions.append((table[slots] * weights[slots][:, None]).sum(axis=0))
-        vectors = np.array(directions, np.float32).reshape(len(ids), table.shape[1])
+            weighted = table[slots] * weights[slots][:, None]
+            directions.append(weighted.sum(axis=0))
+            if len(own) > longest:
+                heads = [*range(0, len(own) - longest, longest), len(own) - longest]
+                pieces += [weighted[head : head + longest].sum(axis=0) for head in heads]
+                owners += [len(ids) - 1] * len(heads)
+        vectors = np.array(directions + pieces, np.float32).reshape(len(ids) + len(pieces), table.shape[1])
         if len(ids):
             vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         telling, needed = np.zeros((SLOTS, len(ids)), bool), np.zeros(len(ids), np.int64)
@@ -283,14 +291,18 @@ class Items:
             telling[slots, i] = True
             # A share LOOSE of all words must be there, so at most the rest of the telling ones may be missing.
             needed[i] = max(0, len(slots) - int((1 - LOOSE) * len(own) + 1e-9))
-        return Items(ids, words, answers, vectors, telling, needed, *_runs(words))
-
-
-def _runs(words: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all runs of RUN_WORDS words of the items in ascending order, their items, and their leading bits."""
-    before = np.cumsum([0, *map(len, words)])
-    hashes, offsets = windows(np.array([w for own in words for w in own], np.uint64), before, RUN_WORDS)
-    items = np.repeat(np.arange(len(words)), np.diff(offsets))
+        sizes = np.array([len(w) for w in words], np.int64)
+        long = np.flatnonzero(sizes >= LEAST_WORDS)
+        short = {n: _runs(words, np.flatnonzero(sizes == n), n) for n in np.unique(sizes[sizes < LEAST_WORDS]).tolist()}
+        owners = np.append(np.arange(len(ids)), np.array(owners, np.int64))
+        return Items(ids, words, answers, vectors, owners, telling, needed, *_runs(words, long, RUN_WORDS), short)
+
+
+def _runs(words: list[list[int]], chosen: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``size`` words of the chosen items in ascending order, their items, and their leading bits."""
+    before = np.cumsum([0, *(len(words[i]) for i in chosen)])
+    hashes, offsets = windows(np.array([w for i in chosen for w in words[i]], np.uint64), before, size)
+    items = np.repeat(chosen, np.diff(offsets))
     order = np.lexsort((items, hashes))
     hashes, items = hashes[order], items[order]
     new = np.append(True, (hashes[1:] != hashes[:-1]) | (items[1:] != items[:-1]))[: len(hashes)]
@@ -348,24 +360,38 @@ def _leaks(part, own: Items, lookups, weights, basis, cosine: float) -> dict[int
             passage /= np.maximum(np.linalg.norm(passage, axis=1, keepdims=True), 1e-12)
             near = passage @ own.directions.T
             block, item = np.nonzero(near >= cosine)
+            values = near[block, item]
+            item = own.owners[item]
+            whole = np.array([len(w) for w in own.words])[item] >= LEAST_WORDS
+            block, item, values = block[whole], item[whole], values[whole]
             if len(block):
-                values = near[block, item]
                 _checked(found, own, lookups, hashes, slots, telling, before, starts, owner, some[block], stop[block], item, values)
-    for block, item in _sharing(own, hashes, before, starts):
+
+    def cosines(block, item):
         values = np.full(len(block), -1.0)
         for width, _ in PASSAGES:
             passage = sums[np.minimum(block + width, last[block])] - sums[block]
             size = np.maximum(np.linalg.norm(passage, axis=1), 1e-12)
             values = np.maximum(values, (passage * own.directions[item]).sum(axis=1) / size)
-        _checked(found, own, lookups, hashes, slots, telling, before, starts, owner, block, block + 1, item, values)
+        return values
+
+    for block, item in _sharing(own, (own.runs, own.run_items, own.run_bits), RUN_WORDS, hashes, before, starts):
+        _checked(found, own, lookups, hashes, slots, telling, before, starts, owner, block, block + 1, item, cosines(block, item))
+    for size, known in own.short.items():
+        for block, item in _sharing(own, known, size, hashes, before, starts):
+            for t, i, c in zip(owner[block].tolist(), item.tolist(), cosines(block, item).tolist()):
+                found.setdefault(t, {}).setdefault(i, (c, 1.0))
     return found
 
 
-def _sharing(own: Items, hashes, before, starts):
-    """Blocks in which a run of words starts that an item has too, with the item; no pair twice in a part."""
-    runs, offsets = windows(hashes, before, RUN_WORDS)
-    at = np.flatnonzero(own.run_bits[runs >> np.uint64(64 - RUN_BITS)])
-    low, high = np.searchsorted(own.runs, runs[at]), np.searchsorted(own.runs, runs[at], side="right")
+def _sharing(own: Items, known, size: int, hashes, before, starts):
+    """Blocks in which a known run of words starts, with the item that has it; no pair twice in a part."""
+    known_runs, known_items, known_bits = known
+    if not len(known_runs):
+        return
+    runs, offsets = windows(hashes, before, size)
+    at = np.flatnonzero(known_bits[runs >> np.uint64(64 - RUN_BITS)])
+    low, high = np.searchsorted(known_runs, runs[at]), np.searchsorted(known_runs, runs[at], side="right")
     at, low, counts = at[high > low], low[high > low], (high - low)[high > low]
     text = np.searchsorted(offsets, at, side="right") - 1
     block = np.searchsorted(starts, at - offsets[text] + before[text], side="right") - 1
@@ -376,7 +402,7 @@ def _sharing(own: Items, hashes, before, starts):
         part = slice(head, stop)
         n = counts[part]
         place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[part], n)
-        pairs = np.unique(np.repeat(block[part], n) * len(own.ids) + own.run_items[place])
+        pairs = np.unique(np.repeat(block[part], n) * len(own.ids) + known_items[place])
         yield pairs // len(own.ids), pairs % len(own.ids)
         head = stop
 
@@ -388,8 +414,13 @@ def _checked(found, own: Items, lookups, hashes, slots, telling, before, starts,
     start = np.maximum(before[text], starts[block] - sizes)
     end = np.minimum(before[text + 1], starts[block] + (stop - block) * BLOCK_WORDS + sizes)
     low, high = np.searchsorted(telling, start), np.searchsorted(telling, end)
-    for at in range(0, len(block), 1 << 13):
-        part = slice(at, at + (1 << 13))
+    held = np.cumsum(high - low)
+    at = stop_at = 0
+    while stop_at < len(block):
+        # Parts of a bounded number of words, the texts around long items being long.
+        at, limit = stop_at, (held[stop_at - 1] if stop_at else 0) + (1 << 20)
+        stop_at = min(at + (1 << 13), max(at + 1, int(np.searchsorted(held, limit, side="right"))))
+        part = slice(at, stop_at)
         counts = (high - low)[part]
         offsets = np.cumsum(counts) - counts
         place = np.arange(int(counts.sum())) - np.repeat(offsets, counts) + np.repeat(low[part], counts)
@@ -419,7 +450,7 @@ def leaks(
     """Documents with leaked items, one row for each: ``_id``, ``_digest``, ``leaks``."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), digest_of(text_col).alias("_digest"), text_of(text_col).alias("_text"))
     known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where(
-        "item is not null and text is not null"
+        "text is not null"
     )
     blocks = distinct_blocks(rows.select("_text"))
     seen, total = passage_frequencies(blocks)

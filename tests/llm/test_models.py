@@ -147,6 +147,31 @@ def test_leaks_in_a_large_group_of_copies(spark, documents, edits):
     assert {r._id: r.item_ids for r in got if r.contaminated} == {k: [1] for k in want}
 
 
+def test_leaks_of_long_and_short_items(spark, documents):
+    """Items far longer than a passage, also with words replaced; items of a few words; an item without id."""
+    rng = random.Random(12)
+    text = lambda n: [f"v{rng.randrange(3_000)}" for _ in range(n)]
+    items = {1: text(400), 2: text(700), 3: text(1_200), 4: text(1_200), 5: ["Who", "wrote", "v7", "v8?"], 6: ["v1"] * 7, None: text(20)}
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    rows, want = [], {}
+    for k in range(120):
+        words = text(rng.randint(20, 600))
+        if k % 4 == 0:
+            i = list(items)[k // 4 % len(items)]
+            inside = list(items[i])
+            if i == 4:  # every fifth word another one
+                inside[4::5] = [f"x{rng.randrange(10**6)}" for _ in inside[4::5]]
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = inside
+            want[k] = [i]
+        rows.append((k, " ".join(words)))
+    rows.append((900, "who wrote v8 v7 who wrote v7"))
+    got = decontaminate.contamination(documents(rows), bench).collect()
+    assert {r._id: r.item_ids for r in got if r.contaminated} == want
+    alone = decontaminate.Items.of([(4, " ".join(items[4]))], np.ones(decontaminate.SLOTS), np.eye(decontaminate.SLOTS, 8))
+    assert len(alone.directions) == 20 and set(alone.owners) == {0}  # the item and 19 pieces
+
+
 def test_sketch_gives_singular_vectors():
     rng = np.random.default_rng(1)
     old, decontaminate.SLOTS = decontaminate.SLOTS, 64
