@@ -8,6 +8,8 @@ diagonal of M) and ``ridge`` (a pull towards rate 1) keep rates near 1 where doc
 their domains; ``most`` bounds the rates from above. All that a step needs from the rows is one total per
 domain, and a row's rate is a fold over the vectors of the steps so far, so no rates are stored or joined.
 The rate's whole part is the number of copies, and its fraction the chance of one more, by a row hash.
+With ``keep`` the budget is raised, all targets alike, until a document surely of that domain has a rate of
+at least 1.
 
 Results: a NULL or empty text has no tokens and moves no total; repeated rows and NULL ids each give a
 row; if a target can't be met (say a domain without tokens) the nearest totals are taken; an empty table
@@ -26,6 +28,8 @@ from pageflow.llm import classifier
 from pageflow.llm.common import digest_of, stored, text_of
 from pageflow.llm.quality import CLASSES, label_classes
 
+RAISES = 8
+
 
 def _fold(steps: list[np.ndarray], domains: list[str], ridge: float, most: float | None) -> Column:
     """The rate after the given steps; each takes sum_k p_k u_k off and cuts at the bounds.
@@ -56,6 +60,20 @@ def fit_rates(
     most: float | None = None,
 ) -> Column:
     """The rate of a row with ``words`` and ``p_<domain>`` columns, as an expression over them."""
+    return _fold(fit_steps(rows, targets, domains, rounds, tolerance, damping, ridge, most), domains, ridge, most)
+
+
+def fit_steps(
+    rows: DataFrame,
+    targets: np.ndarray,
+    domains: list[str],
+    rounds: int = 40,
+    tolerance: float = 1e-4,
+    damping: float = 1e-9,
+    ridge: float = 0.0,
+    most: float | None = None,
+) -> list[np.ndarray]:
+    """The gradient steps whose fold is the rate."""
     n = len(domains)
     p = [F.col(f"p_{d}") for d in domains]
     cells = rows.agg(*[F.sum(F.col("words") * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)]).first()
@@ -71,7 +89,16 @@ def fit_rates(
         if settled or np.abs(totals - targets).max() <= tolerance * max(targets.sum(), 1e-9):
             break
         steps.append(step)
-    return _fold(steps, domains, ridge, most)
+    return steps
+
+
+def sure_rate(steps: list[np.ndarray], at: int, ridge: float = 0.0, most: float | None = None) -> float:
+    """The rate of a document that is of domain number ``at`` with probability 1."""
+    rate = 1.0
+    for u in steps:
+        rate = max(0.0, (rate + ridge - u[at]) / (1 + ridge))
+        rate = rate if most is None else min(most, rate)
+    return rate
 
 
 def mixing_rates(
@@ -84,12 +111,13 @@ def mixing_rates(
     rounds: int = 40,
     seed: int = 17,
     sample_rows: int = classifier.SAMPLE_ROWS,
+    keep: str | None = None,
     **bounds,
 ) -> DataFrame:
     """One row per document: ``_id``, ``_digest``, words, domain probabilities, rate, copies.
 
     ``weights`` are the targets' shares per domain; ``budget`` is the expected number of tokens, by
-    default as many as there are.
+    default as many as there are, and more where the sure documents of ``keep`` would have rates below 1.
     """
     domains = [c for c in CLASSES if c in weights]
     model = classifier.fit(docs, label_classes(labels, id_col), domains, id_col, text_col, sample_rows=sample_rows)
@@ -98,7 +126,17 @@ def mixing_rates(
     total = scored.agg(F.sum("words").alias("n")).first()["n"] or 0
     share = np.array([float(weights[d]) for d in domains])
     targets = share / share.sum() * (float(total) if budget is None else float(budget))
-    rate = fit_rates(scored, targets, domains, rounds, **bounds)
+    steps = fit_steps(scored, targets, domains, rounds, **bounds)
+    if keep is not None:
+        edges = {k: bounds[k] for k in ("ridge", "most") if k in bounds}
+        for _ in range(RAISES):
+            least = sure_rate(steps, domains.index(keep), **edges)
+            if not 0 < least < 1:
+                break
+            # Rates grow with the targets; a little more, so that the tolerance of the fit is covered.
+            targets = targets * (1 + 1e-4) / least
+            steps = fit_steps(scored, targets, domains, rounds, **bounds)
+    rate = _fold(steps, domains, bounds.get("ridge", 0.0), bounds.get("most"))
     drawn = F.pmod(F.xxhash64("_id", "_digest", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + (drawn < F.col("rate") - F.floor("rate")).cast("int")
     return scored.withColumn("rate", rate).withColumn("copies", copies.cast("int"))

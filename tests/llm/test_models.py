@@ -92,6 +92,28 @@ def test_rates_equal_plain_projected_gradient(spark):
     assert np.abs(got - r).max() < 1e-4 and (r == 0).any()
 
 
+def test_the_mixing_stage_reaches_its_targets(spark, monkeypatch):
+    """Expected totals per domain after the stage, from few tokens of the bad domains; sure clean documents stay."""
+    rng = np.random.default_rng(8)
+    p = np.array([[0.9999, 0.00005, 0.00005], *rng.dirichlet([60, 0.08, 0.08], 1_999)])
+    p[1:21] = [0.6, 0.35, 0.05]
+    p[21:41] = [0.55, 0.05, 0.4]
+    rows = [(k, b"d", int(rng.integers(20, 400)), *map(float, v)) for k, v in enumerate(p)]
+    kinds = "_id long, _digest binary, words long, p_clean double, p_low double, p_toxic double"
+    monkeypatch.setattr(mixing.classifier, "fit", lambda *a, **k: None)
+    monkeypatch.setattr(mixing.classifier, "predict", lambda *a, **k: spark.createDataFrame(rows, kinds))
+    held = []
+    plain = mixing.mixing_rates
+    monkeypatch.setattr(corpus_pipeline.mixing, "mixing_rates", lambda *a, **k: held.append(plain(*a, **k)) or held[-1])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: spark.createDataFrame([(1, 1, 0)], LABELS))
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    corpus_pipeline.mix(spark, docs, "")
+    got = held[0].collect()
+    totals = np.array([sum(r.words * r.rate * r[f"p_{c}"] for r in got) for c in corpus_pipeline.MIX_WEIGHTS])
+    assert np.abs(totals / totals.sum() - list(corpus_pipeline.MIX_WEIGHTS.values())).max() < 5e-4
+    assert next(r.rate for r in got if r._id == 0) >= 1 - 1e-3
+
+
 def test_leaks(spark, documents, odd):
     rng = random.Random(7)
     vocabulary = [f"v{k}" for k in range(3_000)]
