@@ -6,11 +6,13 @@ Tokens are lower-cased words and one end per text. With c customers and t tables
 strength s, a restaurant predicts (c - d t + (s + d T) parent) / (s + C). A table in a context is a customer
 of the parent.
 
-Seating is sampled by Gibbs sweeps: each sweep seats all customers of every dish of every context anew,
-one at a time, given the parent's predictions and the tables of the sweep before, and then those of the
-parent. Text scores use predictive probabilities averaged over the sweeps after the first seating. For
-dishes with very many customers (over ``SINGLE``), these are seated a thirty-second at a time. Discounts
-follow from the numbers of dishes with one and two customers.
+Seating is sampled by Gibbs sweeps: each sweep draws the number of tables of every dish of every context
+from its conditional given the parent's predictions and the tables of the sweep before, and then those of the
+parent. With weight w of a new table, t tables of c customers have a probability in proportion to w^t S(c, t), S
+being generalised Stirling numbers: a table of them up to ``EXACT`` customers, and above that Metropolis steps
+that keep this distribution, with S by a contour integral whatever the count. All dishes are drawn at once, given
+the totals of the sweep before. Text scores use predictive probabilities averaged over the sweeps after
+``BURN_IN``. Discounts follow from the numbers of dishes with one and two customers, strengths are constants.
 
 How it runs: one scan finds the contexts with over a thousandth of all tokens (at most a thousand; only
 they are spread over buckets by context and word, all others go to a bucket by context). A second scan sends
@@ -25,6 +27,7 @@ probability 1; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 
@@ -41,7 +44,9 @@ from pageflow.llm.words import mix, word_hashes
 END, START = np.uint64(1), np.uint64(2)
 BUCKET_TOKENS = 4_000_000
 UNIT_TOKENS = 1_500_000
-SWEEPS = 2
+SWEEPS, BURN_IN = 6, 2
+EXACT = 128
+POINTS = 200
 STRENGTH, PARENT_STRENGTH = 1.0, 10.0
 SINGLE = 2_048
 HEAVY = 1_000
@@ -232,6 +237,96 @@ def seated(c: np.ndarray, weight: np.ndarray, d: float, draw: np.random.Generato
     return t
 
 
+@functools.lru_cache(maxsize=4)
+def stirling_logs(d: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers S(n, t) for n and t up to EXACT."""
+    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    out[1, 1] = 0.0
+    t = np.arange(EXACT + 1)
+    for n in range(1, EXACT):
+        stay = out[n, : n + 1] + np.log(np.maximum(n - d * t[: n + 1], 1e-300))
+        out[n + 1, 1 : n + 1] = np.logaddexp(out[n, :n], stay[1:])
+        out[n + 1, n + 1] = 0.0
+    return out
+
+
+def _bisected(above, size: int) -> np.ndarray:
+    """Where functions of u > 0 that fall with u change from ``above`` zero."""
+    low, high = np.full(size, -80.0), np.full(size, 6.0)
+    for _ in range(60):
+        middle = (low + high) / 2
+        more = above(np.exp(middle))
+        low, high = np.where(more, middle, low), np.where(more, high, middle)
+    return np.exp((low + high) / 2)
+
+
+def stirling_log(n: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """log(S(n, t) / n!) for any counts n >= t: the n-th coefficient of g^t / t!, g = (1 - (1 - x)^d) / d.
+
+    With x = exp(-u) it is an integral over a parabola through the saddle point, around the cut at u < 0.
+    """
+
+    def slope(u):
+        y = -np.expm1(-u)
+        return np.exp(-u) * y ** (d - 1) * d / -np.expm1(d * np.log(y))
+
+    alone, whole = t >= n, t
+    t = np.minimum(t, n - 1)
+    u = np.maximum(_bisected(lambda u: t * slope(u) > n, len(n)), 3 / n)
+    bend = np.maximum(t * (slope(u * 0.999) - slope(u * 1.001)) / 0.002 * u * 2, 0)
+    reach = np.minimum(1.5 * np.sqrt(40 / np.clip(bend, 3, n * u + 3)), np.pi / (2 * u))
+    y = (np.arange(POINTS) + 0.5) / POINTS * reach[:, None]
+    path = u[:, None] * (1 + 1j * y) ** 2
+
+    def log_g(u):
+        return np.log((1 - (-np.expm1(-u)) ** d) / d)
+
+    top = n * u + t * log_g(u)
+    values = (1 + 1j * y) * np.exp(n[:, None] * path + t[:, None] * log_g(path) - top[:, None])
+    area = values.real.sum(axis=1) * reach / POINTS * 2 * u / np.pi
+    found = top + np.log(np.maximum(area, 1e-300))
+    return np.where(alone, 0.0, found) - np.array([math.lgamma(x + 1) for x in whole.tolist()])
+
+
+def tables_drawn(c: np.ndarray, weight: np.ndarray, d: float, draw: np.random.Generator, before: np.ndarray | None = None) -> np.ndarray:
+    """Tables of each dish from their conditional w^t S(c, t), given the weight of a new table."""
+    t = (c > 0).astype(np.float64)
+    logs, log_weight = stirling_logs(d), np.log(np.maximum(weight, 1e-300))
+    order = np.argsort(c, kind="stable")
+    sizes = c[order].astype(np.int64)
+    low = int(np.searchsorted(sizes, 2))
+    while low < len(sizes) and sizes[low] <= EXACT:
+        n = int(sizes[low])
+        high = int(np.searchsorted(sizes, n, side="right"))
+        for at in range(low, high, max(1, (1 << 20) // n)):
+            own = order[at : min(high, at + max(1, (1 << 20) // n))]
+            chance = log_weight[own, None] * np.arange(1, n + 1) + logs[n, 1 : n + 1]
+            total = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+            t[own] = 1 + (total < draw.random(len(own))[:, None] * total[:, -1:]).sum(axis=1)
+        low = high
+    for at in range(low, len(sizes), 2_048):
+        own = order[at : at + 2_048]
+        t[own] = _stepped(c[own].astype(np.float64), weight[own], log_weight[own], d, draw, None if before is None else before[own])
+    return t
+
+
+def _stepped(n, weight, log_weight, d: float, draw: np.random.Generator, now: np.ndarray | None) -> np.ndarray:
+    """Metropolis steps from the tables of the sweep before, or else from about the most likely number."""
+    u = _bisected(lambda u: weight * np.exp(-u) * (-np.expm1(-u)) ** (d - 1) > n, len(n))
+    likely = np.clip(np.round(weight * -np.expm1(d * np.log(-np.expm1(-u))) / d), 1, n)
+    t = likely.copy() if now is None else np.clip(now, 1, n)
+    value = stirling_log(n, t, d) + t * log_weight
+    for k in range(24 if now is None else 8):
+        width = 1 + np.sqrt(likely) * (0.3, 1.0, 2.0)[k % 3]
+        new = t + np.where(draw.random(len(n)) < 0.5, -1, 1) * (1 + np.floor(draw.exponential(1, len(n)) * width))
+        inside = (new >= 1) & (new <= n)
+        new = np.where(inside, new, t)
+        worth = stirling_log(n, new, d) + new * log_weight
+        taken = inside & (np.log(draw.random(len(n))) < worth - value)
+        t, value = np.where(taken, new, t), np.where(taken, worth, value)
+    return t
+
+
 def _state(row: dict) -> tuple[np.ndarray, ...]:
     contexts, words, u, w, c = unpack(row["state"])
     return np.cumsum(contexts), np.cumsum(words), np.cumsum(u), w.astype(np.int64), c.astype(np.float64)
@@ -282,7 +377,7 @@ def _answered(d1: float, base: float, seed: int):
         sweep = rows[0]["sweep"]
         c = np.bincount(place, weights=np.concatenate([b[1] for b in blocks]), minlength=len(words))
         draw = np.random.default_rng([SEED, seed, sweep, key[0].as_py()])
-        t = seated(c, np.full(len(c), base), d1, draw)
+        t = tables_drawn(c, np.full(len(c), base), d1, draw)
         mass = (c - d1 * t).astype(np.float32)
         out, at = [], 0
         known = None
@@ -313,9 +408,11 @@ def _seating(sweep: int, before: dict | None, vocabulary: int, d: float, d1: flo
         else:
             told = Answers(right)
             parent = _parent(told.by_word(sweep - 1, words, buckets, 0), before, vocabulary, d1)
-            _, t_u = _context_sums(contexts, u, c, told.tables(sweep - 1), before["heavy"])
+            held = told.tables(sweep - 1)
+            _, t_u = _context_sums(contexts, u, c, held, before["heavy"])
             weight = (STRENGTH + d * t_u[u]) * parent[w]
-            t = seated(c, weight, d, np.random.default_rng([SEED, seed, sweep, row["bucket"], 1]))
+            draw = np.random.default_rng([SEED, seed, sweep, row["bucket"], 1])
+            t = tables_drawn(c, weight, d, draw, held if sweep > 1 else None)
         return _messages(_reports(row["bucket"], sweep, words, w, c, t, u, contexts, heavy, buckets))
 
     return seat
@@ -346,6 +443,7 @@ def scores(
     folds: int = 7,
     held: int = 2,
     sweeps: int = SWEEPS,
+    burn_in: int = BURN_IN,
     seed: int = 0,
     bucket_tokens: int = BUCKET_TOKENS,
 ) -> DataFrame:
@@ -396,12 +494,12 @@ def scores(
         contexts, words, u, w, c = _state(row)
         told = Answers(right)
         p = np.zeros(len(c))
-        for sweep in range(1, sweeps + 1):
+        for sweep in range(burn_in + 1, sweeps + 1):
             t = told.tables(sweep)
             parent = _parent(told.by_word(sweep, words, buckets, 0), totals[sweep], vocabulary, d1)
             c_u, t_u = _context_sums(contexts, u, c, t, totals[sweep]["heavy"])
             own = np.maximum(c - d * t, 0) + (STRENGTH + d * t_u[u]) * parent[w]
-            p += np.where(c_u[u] > 0, own / (STRENGTH + c_u[u]), parent[w]) / sweeps
+            p += np.where(c_u[u] > 0, own / (STRENGTH + c_u[u]), parent[w]) / (sweeps - burn_in)
         counts = told.by_word(0, words, buckets, 1)[w]
         worth = np.log10(p)
         basic = np.log10((counts + 1) / (tokens + vocabulary + 1))
@@ -419,7 +517,7 @@ def scores(
         return pa.table([pa.array([r[j] for r in out], kind) for j, kind in enumerate(types)], names=names)
 
     told = None
-    for messages in held_messages:
+    for messages in [held_messages[0], *held_messages[burn_in + 1 :]]:
         part = messages.where("kind in ('mass', 'tables')")
         told = part if told is None else told.unionByName(part)
     parts = state.select("bucket", "state", "docs", "uses").groupBy("bucket").cogroup(told.groupBy("bucket"))

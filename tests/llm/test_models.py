@@ -285,6 +285,28 @@ def test_tables_follow_the_restaurant():
     assert many[1] == 1 and many[2] == 0 and 1 <= many[0] < 10**7
 
 
+def test_tables_are_drawn_from_their_conditional():
+    """Means against generalised Stirling numbers by their recurrence, below and above the table's end."""
+    rng = np.random.default_rng(2)
+    for d, weight, n in ((0.8, 1.0, 20), (0.8, 1.0, 200), (0.5, 5.0, 200), (0.6, 40.0, 600), (0.9, 0.01, 500)):
+        logs = np.array([0.0])  # log S(m, 1..m)
+        for m in range(1, n):
+            t = np.arange(1, m + 1)
+            logs = np.logaddexp(np.append(logs + np.log(m - d * t), -np.inf), np.append(-np.inf, logs))
+        t = np.arange(1, n + 1)
+        p = np.exp(logs + t * np.log(weight) - (logs + t * np.log(weight)).max())
+        mean = (p * t).sum() / p.sum()
+        spread = np.sqrt((p * t * t).sum() / p.sum() - mean**2)
+        got = pitmanyor.tables_drawn(np.full(1_500, n), np.full(1_500, weight), d, rng)
+        assert abs(got.mean() - mean) < 0.03 + 0.15 * spread, (d, weight, n, got.mean(), mean)
+        near = t[(t == n) | (np.abs(t - mean) < 5 * spread + 2)].astype(float)
+        exact = logs[near.astype(int) - 1] - math.lgamma(n + 1)
+        assert np.abs(pitmanyor.stirling_log(np.full(len(near), float(n)), near, d) - exact).max() < 1e-4
+    # Far above any table: one more than a Poisson number of tables.
+    got = pitmanyor.tables_drawn(np.full(1_500, 10**9), np.full(1_500, 2.0), 0.8, rng)
+    assert abs(got.mean() - 3.5) < 0.25
+
+
 def test_pipeline_stages(spark, labelled, documents, odd):
     """Every stage takes odd rows and empty tables, keeps the columns, and its decisions take effect."""
     import uuid
