@@ -3,7 +3,9 @@
 A value is found by a pattern, validated (check digits, calendar, number ranges), mapped to a number below
 the count of valid values of its format, permuted by a keyed Feistel network over exactly that range, and
 written back in the same format. Equal values become equal pseudonyms in all documents, whatever their
-separators, and with the key the permutation can be undone. Values that fail validation are left alone.
+separators, and with the key the permutation can be undone. Values that fail validation are left alone; an
+IBAN ends at its country's length where a space follows, and the search goes on inside what failed. A date may be followed
+by T and a time.
 
 Kinds: e-mail addresses (local part), payment cards (Luhn), IBANs (mod 97), telephone numbers, social
 security numbers, IPv4 addresses, dates, and hexadecimal secrets.
@@ -28,6 +30,20 @@ ROUNDS = 10
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
+IBAN_LENGTHS = {
+    country: int(n)
+    for n, countries in (
+        line.split(":")
+        for line in (
+            "15:NO", "16:BE", "18:DK FI FO GL NL SD FK", "19:MK SI", "20:AT BA EE KZ LT LU XK MN", "21:CH HR LI LV",
+            "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ TL OM SO", "24:AD CZ ES MD PK RO SA SE SK TN VG",
+            "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HU LB NI PL SV",
+            "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU",
+        )
+    )
+    for country in countries.split()
+}
+
 
 class Permutation:
     """A keyed bijection of [0, size): an alternating Feistel network over a * b >= size, walked until inside."""
@@ -78,6 +94,16 @@ def iban_check(country: str, account: str) -> int:
     return 98 - int(digits) % 97
 
 
+def iban_start(found: str) -> str:
+    """The characters up to the length of the country's IBANs, if a space follows there; or else all."""
+    left = IBAN_LENGTHS.get(found[:2], 0)
+    for k, c in enumerate(found):
+        if not left and c == " ":
+            return found[:k] if k else found
+        left -= c != " "
+    return found
+
+
 def refill(shape: str, characters: str, accept) -> str:
     """The shape with its accepted characters replaced in order."""
     new = iter(characters)
@@ -92,7 +118,7 @@ class Pseudonyms:
         r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
         r"|(?P<hex>(?<![A-Za-z0-9])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{16,}(?![A-Za-z0-9]))"
         r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-        r"|(?P<date>(?<![\w-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\w-]))"
+        r"|(?P<date>(?<![\w-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?=T\d\d(?::?\d\d)|(?![\w-])))"
         r"|(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))"
         r"|(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))"
         r"|(?P<phone>(?<![\w(+])(?:\+1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\w)"
@@ -216,12 +242,19 @@ class Pseudonyms:
         if not self.HINT.search(text):
             return text, []
         parts, spans, at = [], [], 0
-        for m in self.PATTERN.finditer(text):
-            new = getattr(self, m.lastgroup)(m[0])
+        m = self.PATTERN.search(text)
+        while m:
+            whole, start = m[0], m.start()
+            found = iban_start(whole) if m.lastgroup == "iban" else whole
+            new = getattr(self, m.lastgroup)(found)
+            if new is None and found != whole:
+                found = whole
+                new = getattr(self, m.lastgroup)(found)
             if new is not None:
-                parts += [text[at : m.start()], new]
-                spans.append((m.start(), m.end() - m.start(), m.lastgroup))
-                at = m.end()
+                parts += [text[at:start], new]
+                spans.append((start, len(found), m.lastgroup))
+                at = start + len(found)
+            m = self.PATTERN.search(text, at if new is not None else start + 1)
         return ("".join([*parts, text[at:]]) if spans else text), spans
 
 

@@ -168,3 +168,21 @@ def test_pseudonyms(documents, odd):
     back = pseudonyms.pseudonymise(documents([(1, new), (2, by[101].text)]), key, undo=True).collect()
     assert {r.text for r in back} == {text, rows[1][1]}
     assert pseudonyms.pseudonymise(documents([]), key).count() == 0
+
+
+def test_values_next_to_other_words_are_found():
+    """An IBAN with an upper-case word behind it, values inside a failed match, and dates with a time."""
+    worker, back = pseudonyms.Pseudonyms(b"k"), pseudonyms.Pseudonyms(b"k", back=True)
+    plain = worker.apply("BE68 5390 0754 7034")[0]
+    day = worker.apply("2024-01-05")[0]
+    for text, want, kinds in (
+        ("BE68 5390 0754 7034 BIC", plain + " BIC", ["iban"]),
+        ("BE68539007547034 EUR", plain.replace(" ", "") + " EUR", ["iban"]),
+        ("to BE68 5390 0754 7034 2024 EUR", f"to {plain} 2024 EUR", ["iban"]),
+        ("at 2024-01-05T10:11:12Z", f"at {day}T10:11:12Z", ["date"]),
+        ("2024-01-05 and 2024-01-05Tx", f"{day} and 2024-01-05Tx", ["date"]),
+        ("ZZ00 3456 BE68 5390 0754 7034", f"ZZ00 3456 {plain}", ["iban"]),
+    ):
+        new, spans = worker.apply(text)
+        assert new == want and [k for _, _, k in spans] == kinds, text
+        assert back.apply(new)[0] == text
