@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.llm import decontaminate, exactdedup, mixing, nearcopies, pitmanyor, pseudonyms, quality, sharding, tokencounts, warc
+from pageflow.llm import bpe, decontaminate, exactdedup, filteraudit, mixing, nearcopies, periodicruns, pitmanyor, pseudonyms, quality, sharding, tokencounts, warc
 from pageflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+BPE_TOKENIZER = "byte_bpe_50k.json"
 PSEUDONYM_KEY = b"a key for tests; production passes its own"
 MIX_WEIGHTS = {"clean": 0.9, "low": 0.06, "toxic": 0.04}
 
@@ -82,6 +83,42 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents at each step of all 120 orders, per language."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents, a tenth of which is made periodic by the rule on their ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodicruns.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodicruns.periodic_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-longest["s"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["p"]).alias("period"),
+        F.floor(1000 * longest["length"] / -longest["p"]).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the distinct-word table, and decoded again."""
+    import public_tokenizers
+
+    done = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_TOKENIZER), decode=True)
+    return done.select(
+        F.col("_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit() and callable(query)
 }
