@@ -34,10 +34,14 @@ MOST_FILTERS = 6
 
 PREFIXES = """
     WITH RECURSIVE steps(prefix, step, before, bit, mask) AS (
-        SELECT CAST('' AS STRING), 0, 0, 0, mask FROM {masks}
+        SELECT CAST('' AS STRING), 0, 0, 0, mask FROM {cells}
         UNION ALL
-        SELECT concat(s.prefix, l.letter), s.step + 1, s.before | s.bit, l.bit, s.mask
-        FROM steps s JOIN {letters} l ON ((s.before | s.bit) & l.bit) = 0
+        SELECT concat(prefix, letter), step + 1, before | bit, letter_bit, mask FROM (
+            SELECT prefix, step, before, bit, mask, inline(unused) AS (letter, letter_bit) FROM (
+                SELECT s.*, filter(l.letters, x -> ((s.before | s.bit) & x.bit) = 0) AS unused
+                FROM steps s JOIN {cells} l ON s.mask = l.mask
+            )
+        )
     )
     SELECT prefix, step, mask,
         (mask & (before | bit)) = 0 AS is_kept,
@@ -123,8 +127,8 @@ def audit(
     bits = {letter: 1 << at for at, letter in enumerate(letters)}
     cells = stored(mask_cells(docs, labels, bits, chosen, id_col, text_col, part_col), "mask-cells")
 
-    named = spark.createDataFrame(list(bits.items()), "letter string, bit int")
-    steps = stored(spark.sql(PREFIXES, masks=cells.select("mask").distinct(), letters=named), "filter-steps")
+    named = F.array(*[F.struct(F.lit(letter).alias("letter"), F.lit(bit).alias("bit")) for letter, bit in bits.items()])
+    steps = stored(spark.sql(PREFIXES, cells=cells.select("mask").distinct().withColumn("letters", named)), "filter-steps")
 
     def total(flag: str, of: str = "n") -> Column:
         return F.sum(F.when(F.col(flag), F.col(of)).otherwise(0))
