@@ -7,9 +7,9 @@ import json
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pageflow.llm import bpe, queries
@@ -42,11 +42,25 @@ def test_round_trip_equals_the_library(documents, odd, texts, library):
     assert bpe.encode(documents([(1, None), (2, "")]), PATH, decode=True).where("size(ids) = 0").count() == 2
 
 
-def test_each_distinct_word_is_encoded_once(spark, documents):
+def test_each_distinct_word_stands_once_in_a_block_and_meets_in_one_task(spark, documents):
     rows = [(k, "the same words again the same") for k in range(500)]
-    packed = bpe.blocks(documents(rows), "doc_id", "text", [])
-    table = bpe.word_table(packed.select(F.explode("words").alias("word")), bpe.ByteLevel(PATH)).collect()
-    assert Counter(r.word for r in table) == Counter(["the", " same", " words", " again", " the"])
+    packed = bpe.blocks(documents(rows).repartition(4), "doc_id", "text", [])
+    placed = bpe.placed_words(packed)
+    words = ["the", " same", " words", " again", " the"]
+    assert Counter(r.word for r in placed.collect()) == Counter(words * packed.count())
+    parts = bpe.encoded_words(placed, bpe.ByteLevel(PATH)).collect()
+    assert sum(r.n for r in parts) == len(words) * packed.count()
+
+
+def test_equal_blocks(spark, library):
+    rows = spark.createDataFrame([(1, "x"), (2, "y y z")], "doc_id long, text string").coalesce(1)
+    got = bpe.encode(rows.union(rows).union(rows), PATH, decode=True).collect()
+    assert Counter((r._id, bytes(r.decoded)) for r in got) == {(1, b"x"): 3, (2, b"y y z"): 3}
+
+
+def test_numbers_come_back():
+    for numbers in ([], [0], [1, 2**32 - 1, 70_000] * 50):
+        assert bpe.unpacked_numbers(bpe.packed_numbers(np.array(numbers, np.int64)), len(numbers)).tolist() == numbers
 
 
 def test_decode_of_ids_from_elsewhere(spark, texts, library):
