@@ -12,10 +12,13 @@ No bucket of equal keys is expanded into all its pairs. First each member is com
 member of its buckets and linked with the closest of these; confirmed links give components. Where
 components still differ, the other smallest members follow, and buckets that hold several components go
 on: members outside the first member's component are compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
-first key it shares only. A pair is passed on if its signatures are within the distance and if the counts
+first key it shares only. A pair passes if its signatures are within the distance and if the counts
 of elements in ``CELLS`` cells of the hash range allow the similarity (their absolute differences add up
-to at most the symmetric difference, so this drops no link). Every pair passed on is confirmed on full
-sets (100 * intersection >= percent * union): a link is lost only if its signatures are too far apart.
+to at most the symmetric difference, so this drops no link). Of the pairs that pass, a block hands on a spanning
+forest over components, so no more than one pair for each member. Every pair handed on is confirmed on full
+sets (100 * intersection >= percent * union). Where all hold, the pairs held back join nothing new; where some
+do not, the blocks are compared again over the new components and hand on four times as many forests, until
+nothing is held back. So a link is lost only if its signatures are too far apart.
 
 Results: NULL, empty and white-space texts have an empty set and no links; a text with fewer than five
 words has its whole sequence as the one element; repeated rows are copies of each other; NULL ids get
@@ -186,8 +189,7 @@ def within(pairs: DataFrame, classes: DataFrame, distance: int, percent: int) ->
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. ``texts`` has _id, _print, _text."""
-    pairs = stored(pairs.distinct(), "near-candidates")
+    """The pairs (a, b), stored and distinct, whose full sets are similar enough. ``texts`` has _id, _print, _text."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     rows = classes.join(needed, "c", "left_semi").select("c", F.col("_first._id").alias("_i"), F.col("_first._print").alias("_p"))
     same = texts["_id"].eqNullSafe(rows["_i"]) & (texts["_print"] == rows["_p"])
@@ -225,8 +227,10 @@ def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(names, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
 
 
-def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int, percent: int) -> DataFrame:
-    """Close pairs in buckets that hold several components.
+def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int, percent: int, forests: int = 1) -> DataFrame:
+    """Close pairs in buckets that hold several components: ``forests`` spanning forests over components for each block.
+
+    ``held`` marks pairs of blocks that hand on less than all their pairs.
 
     ``buckets`` has key, c, head. Members of the head's component are targets; the others are targets and
     queries. Both are dealt to blocks by hash, and each (target block, query block) is compared in a task.
@@ -261,38 +265,55 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
             last = int(np.searchsorted(places, places[-1]))
             kept = rows.slice(last)
             if last:
-                yield from _compared(rows.slice(0, last), distance, percent)
+                yield from _compared(rows.slice(0, last), distance, percent, forests)
         if kept is not None:
-            yield from _compared(kept, distance, percent)
+            yield from _compared(kept, distance, percent, forests)
+
+    return dealt.mapInArrow(compare, "a long, b long, held boolean")
 
-    return dealt.mapInArrow(compare, "a long, b long")
 
+def _compared(rows: pa.Table, distance: int, percent: int, forests: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a query and a target at one place that sketches allow, in different components, at their first key.
 
-def _compared(rows: pa.Table, distance: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a query and a target at one place that sketches allow, in different components, at their first key."""
+    Of each place, those in the first ``forests`` spanning forests over components are handed on.
+    """
     rows = rows.combine_chunks()
     places = rows.column("_place").to_numpy()
     key, c, comp, size, query = (rows.column(n).to_numpy() for n in ("key", "c", "comp", "_size", "query"))
     cuts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1, [len(places)]])
-    left, right = [], []
     for start, stop in zip(cuts, cuts[1:]):
         signs = _signs(rows.column("_sign").slice(start, stop - start).combine_chunks())
         cells = _cells(rows.column("_cells").slice(start, stop - start).combine_chunks())
         own = chunk_keys(signs, distance).view(np.int64)
         asks, has = np.flatnonzero(query[start:stop]), np.flatnonzero(~query[start:stop])
-        names, sets = comp[start:stop], size[start:stop]
+        names, sets = np.unique(comp[start:stop], return_inverse=True)[1], size[start:stop]
+        woods = [np.arange(len(names)) for _ in range(forests)]  # the tree of each component, forest by forest
+        left, right, held = [], [], False
         for q in asks:
-            other = has[names[has] != names[q]]
+            # What every forest joins already is looked at no more; with one forest, that is most of a group.
+            apart_yet = names[has] != names[q]
+            if forests == 1:
+                apart_yet = woods[0][names[has]] != woods[0][names[q]]
+            other = has[apart_yet]
             other = other[(signs[other] != signs[q]).sum(axis=1) <= distance]
             if len(other):
                 first = (own[other] == own[q]).argmax(axis=1)
                 other = other[own[q][first] == key[start + q]]
-            if len(other):
-                other = other[possible(cells[other], cells[q], sets[other], sets[q], percent)[0]]
-                left.append(np.minimum(c[start + other], c[start + q]))
-                right.append(np.maximum(c[start + other], c[start + q]))
-    if left:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+            if not len(other):
+                continue
+            allowed, apart = possible(cells[other], cells[q], sets[other], sets[q], percent)
+            for t in other[allowed][np.argsort(apart[allowed], kind="stable")].tolist():
+                x, y = names[q], names[t]
+                wood = next((w for w in woods if w[x] != w[y]), None)
+                if wood is None:
+                    held = True
+                    continue
+                wood[wood == wood[x]] = wood[y]
+                left.append(min(c[start + t], c[start + q]))
+                right.append(max(c[start + t], c[start + q]))
+        if left:
+            flag = held or forests == 1  # one forest does not look at what it joins already
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array([flag] * len(left))], ["a", "b", "held"])
 
 
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -335,12 +356,25 @@ def near_copies(
     stars = stored(within(stars, classes, distance, percent), "near-stars")
 
     closest = stars.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    closest = stored(closest, "near-closest")
     links = stored(confirmed(closest, classes, texts, percent), "near-links")
     joined = components(links)
-    rest = stars.select("a", "b").join(closest, ["a", "b"], "left_anti").unionByName(open_pairs(buckets, classes, joined, distance, percent))
-    more = stored(confirmed(_across(rest, joined), classes, texts, percent), "near-links")
-    if more.head(1):
-        joined = components(links.unionByName(more))
+    todo, failed, forests = stars.select("a", "b").join(closest, ["a", "b"], "left_anti"), None, 1
+    while True:
+        opened = stored(open_pairs(buckets, classes, joined, distance, percent, forests), "near-open-pairs")
+        todo = _across(todo.unionByName(opened.select("a", "b")), joined)
+        if failed is not None:
+            todo = todo.join(failed, ["a", "b"], "left_anti")
+        todo = stored(todo, "near-candidates")
+        more = stored(confirmed(todo, classes, texts, percent), "near-links")
+        if more.head(1):
+            links = links.unionByName(more)
+            joined = components(links)
+        refused = stored(todo.join(more, ["a", "b"], "left_anti"), "near-refused")
+        if not refused.head(1) or not opened.where("held").head(1):
+            break
+        failed = refused if failed is None else failed.unionByName(refused)
+        todo, forests = refused.limit(0), 4 * forests
 
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")

@@ -71,6 +71,46 @@ def test_near_copies_equal_brute_force(documents, odd, percent):
     assert nearcopies.near_copies(documents([(1, None), (2, "")])).count() == 2
 
 
+def loose_group(rng, size):
+    """Texts of which each is similar to a few others only, at about the threshold."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    out = []
+    for _ in range(size):
+        at = rng.randrange(120)
+        w = list(base)
+        for k in range(rng.randint(3, 14)):
+            w[(at + 9 * k) % 120] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("block", [16, 256])
+def test_forests_lose_no_link(documents, monkeypatch, block):
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
+    rng = random.Random(block)
+    rows = list(enumerate([t for n in (200, 40, 40) for t in loose_group(rng, n)]))
+    got = nearcopies.near_copies(documents(rows), percent=80).collect()
+    want = brute(rows, 80)
+    assert len({x[2] for x in want}) > 10
+    assert Counter((r._id, r._size, r.component_id) for r in got) == want
+
+
+def test_pairs_handed_on_grow_with_the_group(spark, documents, monkeypatch):
+    handed = {}
+    plain = nearcopies.open_pairs
+
+    def counted(*args):
+        out = plain(*args)
+        handed[size] = handed.get(size, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(nearcopies, "open_pairs", counted)
+    for size in (300, 600, 1_200):
+        rng = random.Random(1)
+        nearcopies.near_copies(documents(list(enumerate(group(rng, size, 14)))), percent=80).count()
+    assert all(handed[size] <= 2 * size for size in handed)
+
+
 def test_pairs_within_the_distance_share_a_key():
     rng = np.random.default_rng(1)
     for distance in (0, 1, 5, 23):
