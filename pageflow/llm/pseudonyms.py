@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Longer runs of letters and digits are permuted in pieces, so that numbers stay of moderate length.
+PIECE = 1_000
 ROUNDS = 10
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
@@ -110,6 +112,13 @@ def refill(shape: str, characters: str, accept) -> str:
     return "".join(next(new) if accept(c) else c for c in shape)
 
 
+def pieces_of(value: str) -> list[tuple[str, str]]:
+    """A value in pieces of at most PIECE characters, each with a name of its turn; a short one is one piece without."""
+    if len(value) <= PIECE:
+        return [("", value)]
+    return [(f".{at // PIECE}", value[at : at + PIECE]) for at in range(0, len(value), PIECE)]
+
+
 class Pseudonyms:
     """Replaces validated values under one key; ``undo`` gives them back."""
 
@@ -142,8 +151,11 @@ class Pseudonyms:
         n = len(digits)
         return str(self._moved(f"{kind}{n}", int(digits), 10**n)).zfill(n) if n else digits
 
-    def email(self, found: str) -> str | None:
+    def email(self, found: str) -> str:
         local, _, domain = found.partition("@")
+        return "".join(self._local(piece, turn) for turn, piece in pieces_of(local)) + "@" + domain
+
+    def _local(self, local: str, turn: str) -> str:
         # Letters keep their case and digits stay digits; equal addresses in another case stay linked.
         letters = [c for c in local if c.isalpha()]
         digits = "".join(c for c in local if c.isdigit())
@@ -152,15 +164,15 @@ class Pseudonyms:
             number, size = number * 26 + ord(c.lower()) - 97, size * 26
         number, size = number * 10 ** len(digits) + int(digits or 0), size * 10 ** len(digits)
         if size == 1:
-            return None
-        number = self._moved(f"email{len(letters)}", number, size)
+            return local
+        number = self._moved(f"email{len(letters)}{turn}", number, size)
         number, tail = divmod(number, 10 ** len(digits))
         drawn = []
         for c in reversed(letters):
             number, at = divmod(number, 26)
             drawn.append(chr(97 + at).upper() if c.isupper() else chr(97 + at))
         new = refill(local, "".join(reversed(drawn)), str.isalpha)
-        return refill(new, str(tail).zfill(len(digits)) if digits else "", str.isdigit) + "@" + domain
+        return refill(new, str(tail).zfill(len(digits)) if digits else "", str.isdigit)
 
     def iban(self, found: str) -> str | None:
         plain = found.replace(" ", "")
@@ -172,8 +184,11 @@ class Pseudonyms:
         return refill(found, f"{country}{iban_check(country, account):02d}{account}", str.isalnum)
 
     def hex(self, found: str) -> str:
-        n = len(found)
-        return f"{self._moved(f'hex{n}', int(found, 16), 16**n):0{n}x}"
+        out = []
+        for turn, piece in pieces_of(found):
+            n = len(piece)
+            out.append(f"{self._moved(f'hex{n}{turn}', int(piece, 16), 16**n):0{n}x}")
+        return "".join(out)
 
     def ip(self, found: str) -> str | None:
         parts = [int(x) for x in found.split(".")]

@@ -186,3 +186,30 @@ def test_values_next_to_other_words_are_found():
         new, spans = worker.apply(text)
         assert new == want and [k for _, _, k in spans] == kinds, text
         assert back.apply(new)[0] == text
+
+
+def test_very_long_values_of_all_kinds(documents):
+    n = 100_000
+    texts = [
+        "x " + "0123456789abcdef" * (n // 16) + " y",
+        "7" * n + "@example.org",
+        "Ab" * n + "@example.org",
+        "a1." * n + "z@example.org z",
+        "@".join(["a"] * n),
+        "DE" + "1" * n,
+        " ".join(["DE89 3704 0044 0532 0130 00"] * (n // 20)),
+        "4111 1111 1111 1111 " * (n // 20),
+        "1" * n,
+        "1.2." * n,
+        "2024-01-05 " * (n // 10),
+        "123-45-" * n,
+        "+49 " + "1 " * n,
+    ]
+    key = b"secret"
+    done = {r.doc_id: r for r in pseudonyms.pseudonymise(documents(list(enumerate(texts))), key).collect()}
+    assert all(len(done[k].text) == len(t) for k, t in enumerate(texts))
+    assert all(done[k].text != texts[k] for k in (0, 1, 2, 3, 6, 7, 10))
+    back = pseudonyms.pseudonymise(documents([(k, r.text) for k, r in done.items()]), key, undo=True).collect()
+    assert all(r.text == texts[r.doc_id] for r in back)
+    twice = pseudonyms.Pseudonyms(key)
+    assert twice.apply("AB" * 3_000 + "@x.org")[0].lower() == twice.apply("ab" * 3_000 + "@x.org")[0]
