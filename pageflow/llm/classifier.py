@@ -138,15 +138,19 @@ def fit(
     class_col: str = "class",
     sample_rows: int = SAMPLE_ROWS,
 ) -> Model:
-    """Fits on at most ``sample_rows`` labelled documents; rows with a NULL or unknown class are left out."""
+    """Fits on at most ``sample_rows`` labelled documents; rows with a NULL or unknown class are left out.
+
+    Of rows with one id, that with the smallest text by hash counts; the others are dropped before any row reaches the driver.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col(class_col).isin(list(classes)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min(class_col).alias("_class"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     sample = texts.join(F.broadcast(chosen), "_id")  # at most sample_rows short rows
+    sample = sample.groupBy("_id", "_class").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"))
     rows = _featured(sample, "_text", {"_id": "long", "_class": "string"}, SLOTS).collect()
     place = {c: k for k, c in enumerate(classes)}
-    rows = sorted({r["_id"]: r for r in rows}.values(), key=lambda r: r["_id"])
+    rows = sorted(rows, key=lambda r: r["_id"])
     return fit_rows([(np.frombuffer(r["slots"], "<i4"), place[r["_class"]]) for r in rows], classes)
 
 
