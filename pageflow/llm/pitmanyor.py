@@ -38,26 +38,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageflow.functions.running import scratch_path
 from pageflow.llm.common import bytes_of, slices, stored, text_of
 from pageflow.llm.words import mix, word_hashes
 
 END, START = np.uint64(1), np.uint64(2)
-BUCKET_TOKENS = 4_000_000
-UNIT_TOKENS = 1_500_000
+BUCKET_TOKENS = 2_000_000
+UNIT_TOKENS = 600_000
+ROWS = 64  # packed rows of one batch
 SWEEPS, BURN_IN = 6, 2
-EXACT = 128
+EXACT = 1_024
 POINTS = 200
 STRENGTH, PARENT_STRENGTH = 1.0, 10.0
-SINGLE = 2_048
 HEAVY = 1_000
 SEED = 29
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers as one compressed value; sorted ones should be given as differences."""
+    """Arrays of numbers as one compressed value, their lower and higher bytes apart; sorted ones should be given as differences."""
     head = np.array([len(arrays), *[len(a) for a in arrays]], "<i8").tobytes()
     kinds = "".join(f"{a.dtype.str:4}" for a in arrays).encode()
-    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join(_planes(a).tobytes() for a in arrays))
+
+
+def _planes(a: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T if len(a) else a
 
 
 def unpack(value: bytes) -> list[np.ndarray]:
@@ -67,7 +72,8 @@ def unpack(value: bytes) -> list[np.ndarray]:
     at, out = 8 + 8 * n + 4 * n, []
     for k in range(n):
         kind = np.dtype(raw[8 + 8 * n + 4 * k : 12 + 8 * n + 4 * k].decode().strip())
-        out.append(np.frombuffer(raw, kind, int(sizes[k]), at))
+        planes = np.frombuffer(raw, np.uint8, int(sizes[k]) * kind.itemsize, at).reshape(kind.itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += int(sizes[k]) * kind.itemsize
     return out
 
@@ -123,7 +129,7 @@ def sent_tokens(docs: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame:
 
     def flush(unit, ids, nulls, held, lengths, tokens):
         words, local = np.unique(tokens, return_inverse=True)
-        doc = np.repeat(np.arange(len(lengths)), lengths)
+        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         heads = np.cumsum(lengths) - lengths
         context = np.empty(len(tokens), np.uint64)
         context[1:] = tokens[:-1]
@@ -149,10 +155,12 @@ def sent_tokens(docs: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame:
                 names[used], steps(np.searchsorted(used, u).astype(np.int32)), np.searchsorted(used, w).astype(np.int32),
                 d.astype(np.int32), n, held,
             )))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([unit] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-            schema=schema,
-        )
+        for at in range(0, len(rows), ROWS):
+            own = rows[at : at + ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in own], pa.int32()), pa.array([unit] * len(own), pa.int64()), pa.array([r[1] for r in own], pa.binary())],
+                schema=schema,
+            )
 
     def run(batches):
         unit = TaskContext.get().partitionId() << 24
@@ -167,10 +175,10 @@ def sent_tokens(docs: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame:
                 ))
                 size += len(tokens)
                 if size >= UNIT_TOKENS:
-                    yield flush(unit, *map(np.concatenate, zip(*gathered)))
+                    yield from flush(unit, *map(np.concatenate, zip(*gathered)))
                     gathered, size, unit = [], 0, unit + 1
         if gathered:
-            yield flush(unit, *map(np.concatenate, zip(*gathered)))
+            yield from flush(unit, *map(np.concatenate, zip(*gathered)))
 
     return docs.mapInArrow(run, "bucket int, unit long, data binary")
 
@@ -217,26 +225,6 @@ def discount(n1: float, n2: float) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
-def seated(c: np.ndarray, weight: np.ndarray, d: float, draw: np.random.Generator) -> np.ndarray:
-    """Tables of each dish when its c customers sit down one by one; ``weight`` is that of a new table."""
-    t = (c > 0).astype(np.float64)
-    order = np.argsort(-c.astype(np.int64), kind="stable")
-    sizes, tables, new = c[order].astype(np.int64), t[order], weight[order]
-    n, most = 1, int(sizes[0]) if len(sizes) else 0
-    while n < most:
-        step = 1 if n < SINGLE else n // 32
-        live = int(np.searchsorted(-sizes, -n, side="left"))  # those with more than n customers
-        left = np.minimum(step, sizes[:live] - n)
-        chance = new[:live] / (new[:live] + n - d * tables[:live])
-        if step == 1:
-            tables[:live] += draw.random(live) < chance
-        else:
-            tables[:live] += np.minimum(draw.poisson(left * chance), left)
-        n += step
-    t[order] = tables
-    return t
-
-
 @functools.lru_cache(maxsize=4)
 def stirling_logs(d: float) -> np.ndarray:
     """Logarithms of the generalised Stirling numbers S(n, t) for n and t up to EXACT."""
@@ -370,16 +358,18 @@ def _answered(d1: float, base: float, seed: int):
     def answer(key: tuple[pa.Scalar, ...], batch: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return batch
-        rows = batch.select(["bucket", "sweep", "data"]).to_pylist()
+        rows = batch.select(["kind", "bucket", "sweep", "data"]).to_pylist()
+        earlier = [unpack(r["data"])[0].astype(np.float64) for r in rows if r["kind"] == "parent"]
+        rows = [r for r in rows if r["kind"] != "parent"]
         blocks = [unpack(r["data"]) for r in rows]
         lists = [np.cumsum(b[0]) for b in blocks]
         words, place = np.unique(np.concatenate(lists), return_inverse=True)
         sweep = rows[0]["sweep"]
         c = np.bincount(place, weights=np.concatenate([b[1] for b in blocks]), minlength=len(words))
         draw = np.random.default_rng([SEED, seed, sweep, key[0].as_py()])
-        t = tables_drawn(c, np.full(len(c), base), d1, draw)
+        t = tables_drawn(c, np.full(len(c), base), d1, draw, earlier[0] if earlier else None)
         mass = (c - d1 * t).astype(np.float32)
-        out, at = [], 0
+        out, at = [("parent", key[0].as_py(), -1, sweep, pack(t.astype(np.uint32)))], 0
         known = None
         if sweep == 0:
             known = np.bincount(place, weights=np.concatenate([b[2] for b in blocks]), minlength=len(words)).astype(np.uint32)
@@ -456,8 +446,9 @@ def scores(
 
     sent = sent_tokens(rows, heavy, buckets)
     name = f"pageflow_pitman_yor_{uuid.uuid4().hex}"
-    merged(sent).write.bucketBy(buckets, "bucket").saveAsTable(name)
+    merged(sent).write.bucketBy(buckets, "bucket").option("path", scratch_path(spark, "pitman-yor-buckets")).saveAsTable(name)
     whole = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalog forgets it, the plan and the files stay
     state = whole.where("bucket >= 0")
     small = state.agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")).first()
     d = discount(small["n1"] or 0, small["n2"] or 0)
@@ -476,6 +467,7 @@ def scores(
         else:
             told = held_messages[-1].where("kind in ('mass', 'tables')")
             reports = own.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(seat, MESSAGE)
+            reports = reports.unionByName(held_messages[-1].where("kind = 'parent'"))
         base = PARENT_STRENGTH / 1e6 if before is None else (PARENT_STRENGTH + d1 * before["t"]) / (vocabulary + 1)
         messages = stored(reports.groupBy("to").applyInArrow(_answered(d1, base, seed), MESSAGE), f"pitman-yor-{sweep}")
         held_messages.append(messages)

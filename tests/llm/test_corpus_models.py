@@ -269,22 +269,6 @@ def test_pitman_yor_predictions_add_up_and_learn(documents):
     assert p2["a", "b"] / p1["a"] * e["a"] / e["b"] > 0.9
 
 
-def test_tables_follow_the_restaurant():
-    """Mean tables of 50 customers against a simulation with a plain loop."""
-    d, weight = 0.7, 2.0
-    rng = np.random.default_rng(1)
-    got = pitmanyor.seated(np.full(4_000, 50), np.full(4_000, weight), d, rng)
-    want = []
-    for _ in range(1_500):
-        t = 1
-        for n in range(1, 50):
-            t += rng.random() < weight / (weight + n - d * t)
-        want.append(t)
-    assert abs(got.mean() - np.mean(want)) < 0.2
-    many = pitmanyor.seated(np.array([10**7, 1, 0]), np.full(3, 0.5), d, rng)
-    assert many[1] == 1 and many[2] == 0 and 1 <= many[0] < 10**7
-
-
 def test_tables_are_drawn_from_their_conditional():
     """Means against generalised Stirling numbers by their recurrence, below and above the table's end."""
     rng = np.random.default_rng(2)
@@ -343,3 +327,13 @@ def test_pipeline_stages(spark, labelled, documents, odd):
     empty = documents([])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_one_row_of_each_labelled_id_is_fitted(spark, documents):
+    from pageflow.llm import classifier
+
+    labels = spark.createDataFrame([(k, "xy"[k % 2]) for k in range(40)], "doc_id long, class string")
+    rows = [(k, ("good words here " if k % 2 else "bad terms there ") * 5 + str(k)) for k in range(40)]
+    more = rows + [(3, f"other text {k}") for k in range(300)]
+    models = [classifier.fit(documents(x).repartition(n, "text"), labels, ["x", "y"]) for x, n in ((more, 3), (more[::-1], 7))]
+    assert np.array_equal(models[0].weights, models[1].weights)
