@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import running_totals
-from pageflow.llm.common import stored, text_of
+from pageflow.llm.common import stored, text_of, unused
 
 OVERHEAD = 8
 
@@ -82,14 +82,15 @@ def balanced_shards(
     columns of these names).
     """
     text = text_of(text_col)
+    number = unused(docs.columns, "_row")
     if carry:
-        docs = stored(docs.drop("_row").withColumn("_row", F.monotonically_increasing_id()), "shard-documents")
+        docs = stored(docs.withColumn(number, F.monotonically_increasing_id()), "shard-documents")
     rows = docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
         F.unhex(F.md5(text)).alias("_hub"),
-        (F.col("_row") if carry else F.monotonically_increasing_id()).alias("_row"),
+        (F.col(number) if carry else F.monotonically_increasing_id()).alias("_row"),
     )
     rows = stored(rows, "shard-rows")
     total = rows.count()
@@ -113,8 +114,8 @@ def balanced_shards(
     cut = F.expr(f"(_rank - 1) * {shards}L div {max(total, 1)}L")
     start = F.expr(f"(((_rank - 1) * {shards}L div {max(total, 1)}L) * {max(total, 1)}L + {shards - 1}L) div {shards}L")
     if carry:
-        slots = ranked.select("_row", cut.cast("int").alias("shard"), (place - start).cast("long").alias("slot"))
-        return docs.drop("shard", "slot").join(slots, "_row").drop("_row")
+        slots = ranked.select(F.col("_row").alias(number), cut.cast("int").alias("shard"), (place - start).cast("long").alias("slot"))
+        return docs.drop("shard", "slot").join(slots, number).drop(number)
     return ranked.select(
         F.col("_id").alias(id_col),
         "size",

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pageflow.llm import decontaminate, mixing, pitmanyor, quality
@@ -303,7 +304,7 @@ def test_pipeline_stages(spark, labelled, documents, odd):
     odd = [(None if d is None else d + 2_000, t) for d, t in odd]
     extra = [(1_000, rows[0][1]), (1_001, "before " + item + " after that"), (1_002, rows[1][1] + " one more"), *odd, (1_000, rows[0][1])]
     sf_dir = scratch_path(spark, f"sf-{uuid.uuid4().hex}")
-    whole = documents([(r[0], r[1]) for r in rows] + extra)
+    whole = documents([(r[0], r[1]) for r in rows] + extra, extra=True).withColumns({x: F.lit("x") for x in ("_copies", "_copy", "_print", "_size")})
     spark.createDataFrame(labels, LABELS).write.parquet(f"{sf_dir}/labels.parquet")
     spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
     docs, seen = whole, {}
