@@ -9,15 +9,17 @@ most one symbol of some chunk. For each chunk and each of its places a key leave
 enumerates the allowed error; so every pair within the distance shares a key.
 
 No bucket of equal keys is expanded into all its pairs. First each member is compared with the smallest
-member of its buckets and linked with the closest of these; confirmed links give components. Where
-components still differ, the other smallest members follow, and buckets that hold several components go
-on: members outside the first member's component are compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
+member of its buckets and linked with the closest of these; confirmed links give components. Up to ``PIVOTS``
+times, buckets that still hold several components draw another member, and those of other components are
+compared with it: a pass over the rows of these buckets each time, which leaves few members outside the largest component of a
+large group. Then nothing is left to chance: the other smallest members follow, and in buckets that hold several components
+the members outside the largest one are compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
 first key it shares only. A pair passes if its signatures are within the distance and if the counts
 of elements in ``CELLS`` cells of the hash range allow the similarity (their absolute differences add up
 to at most the symmetric difference, so this drops no link). Of the pairs that pass, a block hands on a spanning
 forest over components, so no more than one pair for each member. Every pair handed on is confirmed on full
-sets (100 * intersection >= percent * union). Where all hold, the pairs held back join nothing new; where some
-do not, the blocks are compared again over the new components and hand on four times as many forests, until
+sets (100 * intersection >= percent * union). Where all hold, the pairs held back join nothing new; buckets where some
+do not are compared again over the new components and hand on 16 times as many forests, until
 nothing is held back. So a link is lost only if its signatures are too far apart.
 
 Results: NULL, empty and white-space texts have an empty set and no links; a text with fewer than five
@@ -44,7 +46,8 @@ from pageflow.llm.words import keys, mix, windows, word_hashes
 RUN = 5
 SYMBOLS = 64
 MISS = 1e-5
-BLOCK = 256
+PIVOTS = 2
+BLOCK = 1_024
 CELL_BITS = 9
 CELLS = 1 << CELL_BITS
 
@@ -232,15 +235,17 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
 
     ``held`` marks pairs of blocks that hand on less than all their pairs.
 
-    ``buckets`` has key, c, head. Members of the head's component are targets; the others are targets and
+    ``buckets`` has key, c. Members of a bucket's largest component are targets; the others are targets and
     queries. Both are dealt to blocks by hash, and each (target block, query block) is compared in a task.
     """
-    rows = _named(buckets, found)
-    heads = _named(buckets.select(F.col("head").alias("c")).distinct(), found).select(F.col("c").alias("head"), F.col("comp").alias("head_comp"))
-    rows = rows.join(heads, "head").withColumn("out", F.col("comp") != F.col("head_comp"))
-    rows = stored(rows.select("key", "c", "comp", "out"), "near-open")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.count_if("out").alias("q")).where("q > 0 and n > 2")
-    rows = rows.join(sizes, "key").join(classes.select("c", *SKETCH), "c")
+    rows = stored(_named(buckets.select("key", "c"), found), "near-named")
+    # The largest component of a bucket, counted in two steps, so that no task holds the components of a bucket.
+    main = F.max(F.struct(F.col("_m"), F.col("comp")))["comp"].alias("main")
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("_m")).groupBy("key").agg(
+        F.sum("_m").alias("n"), (F.sum("_m") - F.max("_m")).alias("q"), main
+    )
+    sizes = sizes.where("q > 0 and n > 2")
+    rows = rows.join(sizes, "key").withColumn("out", F.col("comp") != F.col("main")).join(classes.select("c", *SKETCH), "c")
     t_blocks, q_blocks = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("q") / BLOCK).cast("int")
     own = F.xxhash64("c", "key")
     targets = rows.select(
@@ -269,7 +274,7 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
         if kept is not None:
             yield from _compared(kept, distance, percent, forests)
 
-    return dealt.mapInArrow(compare, "a long, b long, held boolean")
+    return dealt.mapInArrow(compare, "a long, b long, held boolean, key long")
 
 
 def _compared(rows: pa.Table, distance: int, percent: int, forests: int) -> Iterator[pa.RecordBatch]:
@@ -313,19 +318,35 @@ def _compared(rows: pa.Table, distance: int, percent: int, forests: int) -> Iter
                 right.append(max(c[start + t], c[start + q]))
         if left:
             flag = held or forests == 1  # one forest does not look at what it joins already
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array([flag] * len(left))], ["a", "b", "held"])
+            ends = [pa.array(x, pa.int64()) for x in (left, right, [key[start]] * len(left))]
+            yield pa.RecordBatch.from_arrays([*ends[:2], pa.array([flag] * len(left)), ends[2]], ["a", "b", "held", "key"])
+
+
+def pivot_pairs(buckets: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """In every bucket of several components, one member drawn by hash (a) with each member of another component (b)."""
+    rows = stored(_named(buckets.select("key", "c"), found), "near-named")
+    drawn = F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "comp"))
+    pivots = rows.groupBy("key").agg(drawn.alias("_p"), F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y")
+    pivots = pivots.select("key", F.col("_p.c").alias("a"), F.col("_p.comp").alias("_comp"))
+    return rows.join(pivots, "key").where("comp <> _comp").select("a", F.col("c").alias("b")).distinct()
+
 
+def _closest(near: DataFrame) -> DataFrame:
+    """Of pairs with their differences, that with the smallest one for each b; the smaller end first."""
+    least = near.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("_m")).select(F.col("_m.a").alias("a"), "b")
+    return least.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) whose ends are in different components."""
+
+def _across(pairs: DataFrame, found: DataFrame, *keep: str) -> DataFrame:
+    """The distinct pairs (a, b), with the kept columns, whose ends are in different components."""
     names = found.select("node", "component")
     return (
-        pairs.select("a", "b")
+        pairs.select("a", "b", *keep)
         .distinct()
         .join(names.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
         .join(names.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .select("a", "b")
+        .select("a", "b", *keep)
     )
 
 
@@ -355,26 +376,34 @@ def near_copies(
     stars = buckets.where("c <> head").select(F.col("head").alias("a"), F.col("c").alias("b")).distinct()
     stars = stored(within(stars, classes, distance, percent), "near-stars")
 
-    closest = stars.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    closest = stored(closest, "near-closest")
+    closest = stored(_closest(stars), "near-closest")
     links = stored(confirmed(closest, classes, texts, percent), "near-links")
     joined = components(links)
-    todo, failed, forests = stars.select("a", "b").join(closest, ["a", "b"], "left_anti"), None, 1
+    failed = stored(closest.join(links, ["a", "b"], "left_anti"), "near-refused")
+    for turn in range(PIVOTS):
+        near = within(pivot_pairs(buckets, joined, turn), classes, distance, percent)
+        closest = stored(_closest(near).join(failed, ["a", "b"], "left_anti"), "near-closest")
+        more = stored(confirmed(closest, classes, texts, percent), "near-links") if closest.head(1) else None
+        if more is None or not more.head(1):
+            break
+        links, failed = links.unionByName(more), failed.unionByName(closest.join(more, ["a", "b"], "left_anti"))
+        joined = components(links)
+    todo, forests = stars.select("a", "b"), 1
     while True:
         opened = stored(open_pairs(buckets, classes, joined, distance, percent, forests), "near-open-pairs")
-        todo = _across(todo.unionByName(opened.select("a", "b")), joined)
-        if failed is not None:
-            todo = todo.join(failed, ["a", "b"], "left_anti")
+        todo = _across(todo.unionByName(opened.select("a", "b")), joined).join(failed, ["a", "b"], "left_anti")
         todo = stored(todo, "near-candidates")
         more = stored(confirmed(todo, classes, texts, percent), "near-links")
         if more.head(1):
             links = links.unionByName(more)
             joined = components(links)
-        refused = stored(todo.join(more, ["a", "b"], "left_anti"), "near-refused")
-        if not refused.head(1) or not opened.where("held").head(1):
+        # A bucket whose handed-on pairs all hold has nothing left to join.
+        keys_left = stored(_across(opened.where("held"), joined, "key").select("key").distinct(), "near-keys")
+        if not keys_left.head(1):
             break
-        failed = refused if failed is None else failed.unionByName(refused)
-        todo, forests = refused.limit(0), 4 * forests
+        refused = stored(todo.join(more, ["a", "b"], "left_anti"), "near-refused")
+        failed, buckets = failed.unionByName(refused), buckets.join(keys_left, "key", "left_semi")
+        todo, forests = refused.limit(0), 16 * forests
 
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")
