@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.fixed_values import BOX_FEATURES, DENSEST_LEVEL, SPARSITY_LEVELS
-from pageflow.functions.running import running_totals
-
-QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+from pageflow.functions.selection import QUARTILES, bracketed_values, quartiles_over
 
 
 def churn_rate_by_sparsity(dataset: DataFrame) -> DataFrame:
@@ -23,63 +21,20 @@ def churn_rate_by_sparsity(dataset: DataFrame) -> DataFrame:
     )
 
 
-def value_counts(dataset: DataFrame, features: Sequence[str], by: str) -> DataFrame:
-    """Features unpivoted to rows, with the number of times each value occurs in each class."""
-    columns = [F.col(f).cast("double").alias(f) for f in features]
-    return (
-        dataset.select(by, *columns)
-        .unpivot([by], list(features), "feature", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("feature", by, "value")
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def feature_box_stats(
     dataset: DataFrame, features: Sequence[str] = BOX_FEATURES, by: str = "churn"
 ) -> DataFrame:
     """Quartiles and whiskers (farthest values within 1.5 IQR) of each feature per class.
 
-    Exact: values are counted, running counts over range partitions give every value its place in
-    the order, and quartiles are interpolated between places. No task holds a whole class.
+    Exact, by bracketing: a sketch of each class bounds the places to look at, a second pass counts the values
+    between the brackets and keeps those inside. Neither joins or orders the values, and only the
+    kept ones are shuffled. NULL and NaN are left out; a NULL class is a class.
     """
-    group = ["feature", by]
-    placed = running_totals(value_counts(dataset, features, by), ["value"], {"upto": "n"}, group)
-    sizes = placed.groupBy(*group).agg(F.sum("n").alias("n_values"))
-    # "sizes" and "boxes" have one row per feature and class.
-    located = placed.join(sizes, group)
-    boxes = located.groupBy(*group, "n_values").agg(*_neighbours()).select(*group, "n_values", *_interpolated())
-
+    values = [F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")).alias(f) for f in features]
+    rows = bracketed_values(dataset.select(by, *values), features, [by])
+    boxes = quartiles_over(rows, ["feature", by])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    value = F.col("value")
-    return (
-        placed.join(boxes, group)
-        .groupBy(*group, "n_values", *QUARTILES)
-        .agg(
-            F.min(F.when(value >= F.col("q1") - reach, value)).alias("whisker_low"),
-            F.max(F.when(value <= F.col("q3") + reach, value)).alias("whisker_high"),
-        )
+    return boxes.groupBy("feature", by, "n_values", *QUARTILES).agg(
+        F.min(F.when(F.col("least") >= F.col("q1") - reach, F.col("least"))).alias("whisker_low"),
+        F.max(F.when(F.col("most") <= F.col("q3") + reach, F.col("most"))).alias("whisker_high"),
     )
-
-
-def _place(p: float) -> Column:
-    return (F.col("n_values") - 1) * F.lit(p)
-
-
-def _neighbours() -> list[Column]:
-    """The values at the two places around each quartile."""
-    before = F.col("upto") - F.col("n")
-    found = []
-    for name, p in QUARTILES.items():
-        for side, index in (("low", F.floor(_place(p))), ("high", F.ceil(_place(p)))):
-            here = (before <= index) & (index < F.col("upto"))
-            found.append(F.max(F.when(here, F.col("value"))).alias(f"_{name}_{side}"))
-    return found
-
-
-def _interpolated() -> list[Column]:
-    parts = []
-    for name, p in QUARTILES.items():
-        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        parts.append((low + (high - low) * (_place(p) - F.floor(_place(p)))).alias(name))
-    return parts

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.fixed_values import SEED, TEST_SHARE
-from pageflow.functions.hashing import hash_below, hash_rank, row_hash
+from pageflow.functions.hashing import hash_below, row_hash
+from pageflow.functions.selection import first_by_hash
 
 
 def sample_fraction(df: DataFrame, fraction: float, key_cols: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -17,12 +18,15 @@ def sample_fraction(df: DataFrame, fraction: float, key_cols: Sequence[str], see
 
 
 def sample_n(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = SEED) -> DataFrame:
-    """The n rows that come first in hash order (all rows, if there are fewer).
+    """The n rows that come first in hash order (all rows, if there are fewer), in no order.
 
-    Every task keeps its own first n before they are merged.
+    The n-th hash is found by counting leading digits, the sample is then a filter: nothing is sorted or merged into one
+    task, however large n is. Runs small jobs when called; the rows should be the same each time they are read.
     """
-    hashed = df.withColumn("_hash", row_hash(key_cols, seed))
-    return hashed.orderBy("_hash", *key_cols).limit(n).drop("_hash")
+    if n <= 0:
+        return df.limit(0)
+    marked = first_by_hash(df.withColumn("_hash", row_hash(key_cols, seed)), [], F.lit(n))
+    return marked.where("is_first").drop("_hash", "is_first")
 
 
 def stratified_split(
@@ -35,14 +39,13 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``, true for the given share of every class.
 
-    By hash alone the share holds up to sampling error and costs nothing. ``exact`` numbers the rows
-    of each class in hash order and takes the first ceil(share * n).
+    By hash alone the share holds up to sampling error and costs nothing. ``exact`` takes the first ceil(share * n) rows
+    of each class in hash order, up to a hash found by counting; small jobs run for it when called.
     """
     if not exact:
         return df.withColumn("is_test", hash_below(row_hash(key_cols, seed), test_share))
-    ranked = hash_rank(df, key_cols, seed, [label])
-    is_test = F.col("hash_rank") <= F.ceil(F.col("hash_rows") * F.lit(test_share))
-    return ranked.withColumn("is_test", is_test).drop("hash_rank", "hash_rows")
+    hashed = df.withColumn("_hash", row_hash(key_cols, seed))
+    return first_by_hash(hashed, [label], F.ceil(F.col("n") * F.lit(test_share)), "is_test").drop("_hash")
 
 
 def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
