@@ -27,6 +27,7 @@ from pageflow.functions.fixed_values import (
     SEED,
 )
 from pageflow.functions.hashing import row_hash
+from pageflow.operators.encoding import cross_fitted_rates
 from pageflow.operators.metrics import classification_report, ranking_metrics
 
 LABEL = "churn"
@@ -97,12 +98,30 @@ def build_pipeline(preprocessor: Sequence, label: str = LABEL, seed: int = SEED,
 def pipeline_for(
     df: DataFrame, label: str = LABEL, hashed: Sequence[str] = HASHED_COLUMNS, **tree_params
 ) -> Pipeline:
-    """Pipeline with roles of columns read off the schema; its stages do not depend on the rows."""
+    """Pipeline with roles of columns read off the schema; its stages do not depend on the rows.
+
+    A category that has its rate next to it (``with_rates``) is left to the rate; of the others, those in ``hashed`` are hashed.
+    """
     categorical, numeric = column_roles(df, label)
+    categorical = [c for c in categorical if f"{c}_rate" not in df.columns]
     hashed = [c for c in hashed if c in categorical]
     return build_pipeline(build_preprocessor(categorical, numeric, hashed), label, **tree_params)
 
 
+def with_rates(
+    train: DataFrame,
+    *others: DataFrame,
+    columns: Sequence[str] = HASHED_COLUMNS,
+    label: str = LABEL,
+    key_cols: Sequence[str] = ENTITY_KEYS,
+) -> list[DataFrame]:
+    """The sets with a number ``<column>_rate`` for columns with very many levels: mean labels, out of fold in ``train``."""
+    sets = [train, *others]
+    for column in columns:
+        sets = cross_fitted_rates(sets[0], column, label, key_cols, sets[1:])
+    return sets
+
+
 def draw_params(space: Mapping[str, Sequence] = SEARCH_SPACE, draws: int = SEARCH_DRAWS, seed: int = SEED) -> list[dict]:
     """Distinct seeded draws from the product of the space."""
     combinations = [dict(zip(space, values)) for values in itertools.product(*space.values())]
@@ -240,10 +259,10 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop in accuracy when a feature's values are permuted; the largest drops first.
 
-    All features are returned unless ``top`` is given. All features and repeats are scored in one job,
+    All features are returned (of a column with its rate, the rate) unless ``top`` is given. All features and repeats are scored in one job,
     after one that counts the rows: a task puts about ``piece_rows`` of them in order.
     """
-    features = [c for c in df.columns if c != label]
+    features = [c for c in df.columns if c != label and f"{c}_rate" not in df.columns]
     ranges = max(1, math.ceil(df.count() / piece_rows))
     base = _accuracy(predict(model, df, [label]), label).select("accuracy").scalar()
     permuted = permuted_copies(df, features, key_cols, repeats, seed, ranges)

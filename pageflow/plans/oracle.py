@@ -208,6 +208,25 @@ steps as (
     sum(sum(label)) over (order by score desc) as tp, sum(sum(1 - label)) over (order by score desc) as fp
   from scored group by score)"""
 
+GROUPED = """scored as (
+  select churn as label, -cast(views_total as double) as score, unnest(['language', 'sparsity_level']) as grouped_by,
+    unnest([language, sparsity_level]) as level
+  from core),
+sizes as (select grouped_by, level, sum(label) as p, sum(1 - label) as n from scored group by all),
+steps as (
+  select grouped_by, level, score, sum(label) as pos, sum(1 - label) as neg,
+    sum(sum(label)) over (partition by grouped_by, level order by score desc) as tp,
+    sum(sum(1 - label)) over (partition by grouped_by, level order by score desc) as fp
+  from scored group by grouped_by, level, score)"""
+
+RATES = f"""f as (
+  select *, cast('0x' || substr(md5({ENTITY_TEXT % 42}), 1, 8) as bigint) as h from core),
+split as (select *, h < round(0.2 * 4294967296) as is_test, h % 5 as fold from f),
+per_fold as (select page_title, fold, count(*) as n, sum(churn) as s from split where not is_test group by all),
+per_title as (select page_title, sum(n) as n, sum(s) as s from per_fold group by all),
+of_fold as (select fold, sum(n) as n, sum(s) as s from per_fold group by all),
+of_all as (select sum(n) as n, sum(s) as s from per_fold)"""
+
 LATE = f"""base as (select * from silver where not (file_date = date '{LATE_DAY}' and file_time >= '18:00:00')),
 late as (
   select * replace (count_views + 1 as count_views, ingestion_time + interval 1 day as ingestion_time)
@@ -432,6 +451,25 @@ def oracle_sql() -> dict[str, str]:
             select {_r('sum(pos * ((n - fp) + neg / 2.0)) / (any_value(p) * any_value(n))')} as roc_auc from steps, sizes""",
         "average_precision": f"""with {SILVER}, {_core_set(TRAIN)}, {SCORED}, {STEPS}
             select {_r('sum((pos / p) * (tp / (tp + fp)))')} as average_precision from steps, sizes""",
+        "roc_auc_grouped": f"""with {SILVER}, {_core_set(TRAIN)}, {GROUPED}
+            select grouped_by, level, {_r('sum(pos * ((n - fp) + neg / 2.0)) / nullif(any_value(p) * any_value(n), 0)')} as roc_auc
+            from steps join sizes using (grouped_by, level) group by grouped_by, level""",
+        "average_precision_grouped": f"""with {SILVER}, {_core_set(TRAIN)}, {GROUPED}
+            select grouped_by, level, {_r('sum((pos / nullif(p, 0)) * (tp / (tp + fp)))')} as average_precision
+            from steps join sizes using (grouped_by, level) group by grouped_by, level""",
+        "title_rates": f"""with {SILVER}, {_core_set(TRAIN)}, {RATES},
+            fitted as (
+              select {KEYS}, churn, false as is_test,
+                (t.s - o.s + 20.0 * (a.s - d.s) / (a.n - d.n)) / (t.n - o.n + 20.0) as rate
+              from split join per_fold o using (page_title, fold) join per_title t using (page_title) join of_fold d using (fold), of_all a
+              where not is_test),
+            later as (
+              select {KEYS}, churn, true as is_test,
+                (coalesce(t.s, 0) + 20.0 * a.s / a.n) / (coalesce(t.n, 0) + 20.0) as rate
+              from split left join per_title t using (page_title), of_all a where is_test)
+            select language, database_name, cast(is_mobile as varchar) as is_mobile, namespace, page_title, churn, is_test,
+              {_r('rate')} as page_title_rate
+            from (select * from fitted union all select * from later)""",
         "classification_report": f"""with {SILVER}, {_core_set(TRAIN)}, {SCORED},
             per_class as (
               select c, count(*) filter (where label = c and prediction = c) as hits,

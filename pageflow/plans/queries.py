@@ -335,10 +335,29 @@ def one_hot_features(spark, sf_dir):
     )
 
 
+def title_rates(spark, sf_dir):
+    """Out-of-fold churn rates of page titles in the train split, and those of the whole split in the held-out rows."""
+    train, test = modeling.with_rates(*_train_parts(spark, sf_dir))
+    columns = [*ENTITY_KEYS, "churn", "page_title_rate"]
+    fitted = train.select(*columns, F.lit(False).alias("is_test"))
+    return rounded(fitted.unionByName(test.select(*columns, F.lit(True).alias("is_test"))))
+
+
+def _grouped(operator: Callable[..., DataFrame]) -> Query:
+    """A ranking metric per language, and per sparsity level, which follows the score."""
+
+    def query(spark, sf_dir):
+        rows = _churn(spark, sf_dir)
+        kinds = F.array(F.struct(F.lit("language").alias("grouped_by"), F.col("language").alias("level")), F.struct(F.lit("sparsity_level").alias("grouped_by"), F.col("sparsity_level").alias("level")))
+        scored = rows.select(F.col("churn").alias("label"), (-F.col("views_total").cast("double")).alias("score"), F.inline(kinds))
+        return rounded(operator(scored, by=["grouped_by", "level"]))
+
+    return query
+
+
 def _train_parts(spark, sf_dir):
     split = sampling.stratified_split(_gold(spark, sf_dir), "churn", ENTITY_KEYS)
-    train, test = sampling.split_parts(split)
-    return modeling.model_input(train), modeling.model_input(test)
+    return [modeling.model_input(part) for part in sampling.split_parts(split)]
 
 
 def _fitted(train: DataFrame):
@@ -346,28 +365,29 @@ def _fitted(train: DataFrame):
 
 
 def gbt_predictions(spark, sf_dir):
-    train, test = _train_parts(spark, sf_dir)
+    train, test = modeling.with_rates(*_train_parts(spark, sf_dir))
     return modeling.predict(_fitted(train), test, [*ENTITY_KEYS, "churn"])
 
 
 def model_search(spark, sf_dir):
-    train, _ = _train_parts(spark, sf_dir)
+    train = modeling.with_rates(_train_parts(spark, sf_dir)[0])[0]
     train = sampling.sample_n(train, SEARCH_ROWS, ENTITY_KEYS)
     search = modeling.hyperparameter_search(modeling.pipeline_for(train), train, space=SMALL_SPACE)
     return modeling.search_results(spark, search)
 
 
 def permutation_importance(spark, sf_dir):
-    train, test = _train_parts(spark, sf_dir)
+    train, test = modeling.with_rates(*_train_parts(spark, sf_dir))
     return modeling.permutation_importance(_fitted(train), test)
 
 
 def external_evaluation(spark, sf_dir):
-    train, _ = _train_parts(spark, sf_dir)
+    train = _train_parts(spark, sf_dir)[0]
     later = churn.churn_dataset(
         silver_log(spark, sf_dir), TEST.obs_start, TEST.obs_end, TEST.lbl_start, TEST.lbl_end
     )
-    return modeling.evaluate_model(_fitted(train), modeling.model_input(later), "external")["ranking"]
+    train, later = modeling.with_rates(train, modeling.model_input(later))
+    return modeling.evaluate_model(_fitted(train), later, "external")["ranking"]
 
 
 def queries() -> dict[str, Query]:
@@ -439,6 +459,9 @@ def queries() -> dict[str, Query]:
         "stratified_split_exact": _split(exact=True),
         "standardize": standardize,
         "one_hot_features": one_hot_features,
+        "title_rates": title_rates,
+        "roc_auc_grouped": _grouped(metrics.roc_auc),
+        "average_precision_grouped": _grouped(metrics.average_precision),
         "gbt_predictions": gbt_predictions,
         "model_search": model_search,
         "roc_auc": _metric(metrics.roc_auc),

@@ -85,6 +85,7 @@ def train_step(
     split = sampling.stratified_split(read_table(spark, train_path, CORE_SCHEMA), "churn", ENTITY_KEYS)
     fit_rows, held_out = [modeling.model_input(part) for part in sampling.split_parts(split)]
     later = modeling.model_input(read_table(spark, test_path, CORE_SCHEMA))
+    fit_rows, held_out, later = modeling.with_rates(fit_rows, held_out, later)
 
     pipeline = modeling.pipeline_for(fit_rows)
     search = modeling.hyperparameter_search(pipeline, sampling.sample_n(fit_rows, search_rows, ENTITY_KEYS), space=space)
