@@ -306,9 +306,18 @@ def oracle_sql() -> dict[str, str]:
             from silver where {_between(TRAIN.lbl_start, TRAIN.lbl_end)}""",
         "dau": f"""with {SILVER}
             select file_date, language, count(distinct page_title) as "DAU" from silver group by all""",
-        "wau": f"""with {SILVER}
+        **{
+            name: f"""with {SILVER}
             select strftime(file_date, '%G-%V') as week, language, database_name, count(distinct page_title) as "WAU"
-            from silver group by all""",
+            from silver group by all"""
+            for name in ("wau", "wau_bitmaps")
+        },
+        "uniques_from_sketches": f"""with {SILVER} """
+        + " union all ".join(
+            f"select '{period}' as period, strftime(file_date, '{form}') as label, language, count(distinct page_title) as n_pages,"
+            " true as within_error from silver group by all"
+            for period, form in (("day", "%Y-%m-%d"), ("week", "%G-%V"), ("month", "%Y-%m"))
+        ),
         "mau": f"""with {SILVER}
             select strftime(file_date, '%Y-%m') as month, language, database_name, count(distinct page_title) as "MAU"
             from silver group by all""",
@@ -320,7 +329,7 @@ def oracle_sql() -> dict[str, str]:
                     count(distinct page_title) as "MAU" from silver group by all)
             select language, database_name, month, file_date, "DAU", "MAU", {_r('"DAU" / nullif("MAU", 0)')} as stickiness
             from d join m using (language, database_name, month)"""
-            for name in ("stickiness", "stickiness_one_pass")
+            for name in ("stickiness", "stickiness_one_pass", "stickiness_bitmaps")
         },
         "stickiness_pct": f"""with {SILVER},
             d as (select file_date, strftime(file_date, '%Y-%m') as month, language,

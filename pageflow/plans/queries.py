@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from pageflow.functions.fixed_values import ENTITY_KEYS, SEARCH_ROWS
 from pageflow.functions.running import scratch_path
-from pageflow.operators import cleaning, explore, features, kpis, maintenance, metrics, modeling, profiles, sampling
+from pageflow.operators import cleaning, dailyuniques, explore, features, kpis, maintenance, metrics, modeling, profiles, sampling
 from pageflow.plans import churn
 from pageflow.plans.fixtures import (
     LANGUAGES,
@@ -33,6 +33,7 @@ from pageflow.plans.fixtures import (
 )
 from pageflow.sources import landing, raw, tables
 
+SECOND_BATCH = datetime.date(2024, 1, 16)  # from this day on, days are written by a later run
 Query = Callable[[SparkSession, str], DataFrame]
 # Few and shallow trees and a small search space, for time: the operators' defaults (100 to 500 rounds)
 # take minutes on the smallest tables. They fit all train rows; the search takes SEARCH_ROWS labelled ones.
@@ -177,6 +178,41 @@ def stickiness_pct(spark, sf_dir):
     return rounded(kpis.stickiness(kpis.dau(rows, by), kpis.mau(rows, by), by, how="left", scale=100))
 
 
+def _daily_bitmaps(spark, sf_dir) -> DataFrame:
+    """The days' bitmaps as a table that two batches of days were written to, the second with new pages."""
+    rows, path = silver_log(spark, sf_dir), scratch_path(spark, "bitmaps")
+    numbers = None
+    for batch in (F.col("file_date") < F.lit(SECOND_BATCH), F.col("file_date") >= F.lit(SECOND_BATCH)):
+        part = rows.where(batch)
+        numbers = dailyuniques.page_numbers(part, numbers)
+        dailyuniques.update_days(dailyuniques.daily_bitmaps(part, numbers), path)
+    return tables.read_table(spark, path)
+
+
+def stickiness_bitmaps(spark, sf_dir):
+    return rounded(dailyuniques.stickiness_of_bitmaps(_daily_bitmaps(spark, sf_dir)))
+
+
+def wau_bitmaps(spark, sf_dir):
+    return dailyuniques.uniques_of_bitmaps(_daily_bitmaps(spark, sf_dir), "week", name="WAU")
+
+
+def uniques_from_sketches(spark, sf_dir):
+    """Estimates of days, weeks and months from a table of daily sketches, held against exact counts."""
+    rows, path = silver_log(spark, sf_dir), scratch_path(spark, "sketches")
+    for batch in (F.col("file_date") < F.lit(SECOND_BATCH), F.col("file_date") >= F.lit(SECOND_BATCH)):
+        dailyuniques.update_days(dailyuniques.daily_sketches(rows.where(batch)), path)
+    daily, found = tables.read_table(spark, path), []
+    for period in ("day", "week", "month"):
+        guess = dailyuniques.uniques_of_sketches(daily, period, name="estimate")
+        exact = rows.groupBy(dailyuniques.period_label(period).alias(period), "language").agg(F.count_distinct("page_title").alias("n_pages"))
+        error = F.abs(F.col("estimate") - F.col("n_pages"))
+        within = error <= 4 * dailyuniques.relative_error() * F.col("n_pages") + 1
+        both = guess.join(exact, [period, "language"])
+        found.append(both.select(F.lit(period).alias("period"), F.col(period).alias("label"), "language", "n_pages", within.alias("within_error")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def _of_silver(operator: Callable[..., DataFrame], *args, **options) -> Query:
     return lambda spark, sf_dir: rounded(operator(silver_log(spark, sf_dir), *args, **options))
 
@@ -419,6 +455,9 @@ def queries() -> dict[str, Query]:
         "mau": _of_silver(kpis.mau),
         "stickiness": stickiness,
         "stickiness_one_pass": _of_silver(kpis.stickiness_from_views),
+        "stickiness_bitmaps": stickiness_bitmaps,
+        "wau_bitmaps": wau_bitmaps,
+        "uniques_from_sketches": uniques_from_sketches,
         "stickiness_pct": stickiness_pct,
         "diversity": _of_silver(kpis.diversity),
         "shannon_entropy": _of_silver(kpis.shannon_entropy),
