@@ -10,9 +10,9 @@ enumerates the allowed error; so every pair within the distance shares a key.
 
 No bucket of equal keys is expanded into all its pairs. First each member is compared with the smallest
 member of its buckets and linked with the closest of these; confirmed links give components. Up to ``PIVOTS``
-times, buckets that still hold several components draw another member, and those of other components are
-compared with it: a pass over the rows of these buckets each time, which leaves few members outside the largest component of a
-large group. Then nothing is left to chance: the other smallest members follow, and in buckets that hold several components
+times, as long as large groups would be copied to many blocks, buckets that still hold several components draw another
+member, and those of other components are compared with it: a pass over the rows of these buckets each time, which leaves
+few members outside the largest component of a large group. Then nothing is left to chance: the other smallest members follow, and in buckets that hold several components
 the members outside the largest one are compared with all members, in blocks of bounded size that are spread over tasks, and a pair counts in the
 first key it shares only. A pair passes if its signatures are within the distance and if the counts
 of elements in ``CELLS`` cells of the hash range allow the similarity (their absolute differences add up
@@ -46,7 +46,7 @@ from pageflow.llm.words import keys, mix, windows, word_hashes
 RUN = 5
 SYMBOLS = 64
 MISS = 1e-5
-PIVOTS = 2
+PIVOTS = 4
 BLOCK = 1_024
 CELL_BITS = 9
 CELLS = 1 << CELL_BITS
@@ -230,6 +230,26 @@ def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(names, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
 
 
+def open_sizes(rows: DataFrame) -> DataFrame:
+    """Of buckets of several components: members ``n``, the largest component ``main``, and members outside it ``q``.
+
+    Counted in two steps, so that no task holds the components of a bucket.
+    """
+    main = F.max(F.struct(F.col("_m"), F.col("comp")))["comp"].alias("main")
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("_m")).groupBy("key").agg(
+        F.sum("_m").alias("n"), (F.sum("_m") - F.max("_m")).alias("q"), main
+    )
+    return sizes.where("q > 0 and n > 2")
+
+
+def copied_much(buckets: DataFrame, found: DataFrame) -> bool:
+    """Whether blocks would get over twice the rows that the open buckets hold, as those of large groups do."""
+    sizes = open_sizes(_named(buckets.select("key", "c"), found))
+    copies = F.expr(f"n * ceil(q / {BLOCK}) + q * ceil(n / {BLOCK})")
+    sums = sizes.agg(F.sum(copies).alias("copies"), F.sum(F.col("n") + F.col("q")).alias("rows")).first()
+    return (sums["copies"] or 0) > 2 * (sums["rows"] or 0)
+
+
 def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int, percent: int, forests: int = 1) -> DataFrame:
     """Close pairs in buckets that hold several components: ``forests`` spanning forests over components for each block.
 
@@ -239,12 +259,7 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
     queries. Both are dealt to blocks by hash, and each (target block, query block) is compared in a task.
     """
     rows = stored(_named(buckets.select("key", "c"), found), "near-named")
-    # The largest component of a bucket, counted in two steps, so that no task holds the components of a bucket.
-    main = F.max(F.struct(F.col("_m"), F.col("comp")))["comp"].alias("main")
-    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("_m")).groupBy("key").agg(
-        F.sum("_m").alias("n"), (F.sum("_m") - F.max("_m")).alias("q"), main
-    )
-    sizes = sizes.where("q > 0 and n > 2")
+    sizes = open_sizes(rows)
     rows = rows.join(sizes, "key").withColumn("out", F.col("comp") != F.col("main")).join(classes.select("c", *SKETCH), "c")
     t_blocks, q_blocks = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("q") / BLOCK).cast("int")
     own = F.xxhash64("c", "key")
@@ -381,6 +396,8 @@ def near_copies(
     joined = components(links)
     failed = stored(closest.join(links, ["a", "b"], "left_anti"), "near-refused")
     for turn in range(PIVOTS):
+        if not copied_much(buckets, joined):
+            break
         near = within(pivot_pairs(buckets, joined, turn), classes, distance, percent)
         closest = stored(_closest(near).join(failed, ["a", "b"], "left_anti"), "near-closest")
         more = stored(confirmed(closest, classes, texts, percent), "near-links") if closest.head(1) else None
