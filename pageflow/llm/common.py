@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -36,6 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps, which it does when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in whatever file system its scheme names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

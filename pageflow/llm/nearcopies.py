@@ -19,7 +19,7 @@ of elements in ``CELLS`` cells of the hash range allow the similarity (their abs
 to at most the symmetric difference, so this drops no link). Of the pairs that pass, a block hands on a spanning
 forest over components, so no more than one pair for each member. Every pair handed on is confirmed on full
 sets (100 * intersection >= percent * union). Where all hold, the pairs held back join nothing new; buckets where some
-do not are compared again over the new components and hand on 16 times as many forests, until
+do not are compared again over the new components and hand on 64 times as many forests, until
 nothing is held back. So a link is lost only if its signatures are too far apart.
 
 Results: NULL, empty and white-space texts have an empty set and no links; a text with fewer than five
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import bytes_of, slices, stored, text_of
+from pageflow.llm.common import bytes_of, release, slices, stored, text_of
 from pageflow.llm.components import components
 from pageflow.llm.words import keys, mix, windows, word_hashes
 
@@ -407,6 +407,7 @@ def near_copies(
         joined = components(links)
     todo, forests = stars.select("a", "b"), 1
     while True:
+        release(docs.sparkSession)
         opened = stored(open_pairs(buckets, classes, joined, distance, percent, forests), "near-open-pairs")
         todo = _across(todo.unionByName(opened.select("a", "b")), joined).join(failed, ["a", "b"], "left_anti")
         todo = stored(todo, "near-candidates")
@@ -420,8 +421,9 @@ def near_copies(
             break
         refused = stored(todo.join(more, ["a", "b"], "left_anti"), "near-refused")
         failed, buckets = failed.unionByName(refused), buckets.join(keys_left, "key", "left_semi")
-        todo, forests = refused.limit(0), 16 * forests
+        todo, forests = refused.limit(0), 64 * forests
 
+    release(docs.sparkSession)
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")
     full = stored(full, "near-members")
