@@ -2,7 +2,8 @@
 
 Each step gives every node the smallest node it is linked with, using one aggregation (combined inside
 tasks, so a node with very many links is no hot spot) and one equal join. The number of rounds grows with
-the logarithm of the longest chain.
+the logarithm of the longest chain. Up to ``FEW`` links are read by one task, where a round needs no
+shuffle; more are spread over tasks, by the same steps.
 """
 
 from __future__ import annotations
@@ -12,18 +13,29 @@ from pyspark.sql import functions as F
 
 from pageflow.llm.common import stored
 
+# Two numbers each, so a few hundred KB.
+FEW = 20_000
 
-def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+
+def components(
+    links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, name: str = "links", few: int = FEW
+) -> DataFrame:
     """``node`` and the smallest node of its component, ``component``, for all nodes with links to others.
+    ``name`` is that of the tables of the rounds in the shared folder.
 
     NULL ends and links from a node to itself are ignored; repeated links count once; no links, no rows.
     """
     ends = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = stored(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    edges = stored(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
+    one_task = edges.count() <= few
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.coalesce(1) if one_task else rows
+
     for _ in range(rounds):
-        if _stars(edges):
+        if _stars(dealt(_ends(edges))):
             break
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = dealt(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
@@ -31,7 +43,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = stored(small.where("u <> v").distinct(), "links")
+        edges = stored(dealt(small).where("u <> v").distinct(), name)
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
@@ -39,9 +51,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     )
 
 
-def _stars(edges: DataFrame) -> bool:
-    """Whether every node either points at one node or is pointed at."""
+def _ends(edges: DataFrame) -> DataFrame:
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
-    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+
+
+def _stars(ends: DataFrame) -> bool:
+    """Whether every node either points at one node or is pointed at."""
     nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
     return not nodes.where("up > 1 or (up = 1 and down = 1)").head(1)

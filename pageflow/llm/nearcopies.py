@@ -31,6 +31,7 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from math import comb
 
@@ -39,9 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageflow.functions.running import shared_dir
 from pageflow.llm.common import bytes_of, release, slices, stored, text_of
 from pageflow.llm.components import components
 from pageflow.llm.words import keys, mix, windows, word_hashes
+from pageflow.sources.tables import drop_path
 
 RUN = 5
 SYMBOLS = 64
@@ -191,7 +194,7 @@ def within(pairs: DataFrame, classes: DataFrame, distance: int, percent: int) ->
     return pairs.select("a", "b", *columns).mapInArrow(run, "a long, b long, apart long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, run: str = "near") -> DataFrame:
     """The pairs (a, b), stored and distinct, whose full sets are similar enough. ``texts`` has _id, _print, _text."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     rows = classes.join(needed, "c", "left_semi").select("c", F.col("_first._id").alias("_i"), F.col("_first._print").alias("_p"))
@@ -204,7 +207,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: i
                 yield pa.RecordBatch.from_arrays([part.column("c"), pa.array(sets, pa.binary())], ["c", "_set"])
 
     sets = texts.join(rows, same).select("c", "_text").mapInArrow(run, "c long, _set binary").dropDuplicates(["c"])
-    sets = stored(sets, "near-sets")
+    sets = stored(sets, f"{run}/sets")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("_set").alias("_set_a")), "a")
     both = both.join(sets.select(F.col("c").alias("b"), F.col("_set").alias("_set_b")), "b")
 
@@ -250,7 +253,9 @@ def copied_much(buckets: DataFrame, found: DataFrame) -> bool:
     return (sums["copies"] or 0) > 2 * (sums["rows"] or 0)
 
 
-def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int, percent: int, forests: int = 1) -> DataFrame:
+def open_pairs(
+    buckets: DataFrame, classes: DataFrame, found: DataFrame, distance: int, percent: int, forests: int = 1, run: str = "near"
+) -> DataFrame:
     """Close pairs in buckets that hold several components: ``forests`` spanning forests over components for each block.
 
     ``held`` marks pairs of blocks that hand on less than all their pairs.
@@ -258,7 +263,7 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, found: DataFrame, distanc
     ``buckets`` has key, c. Members of a bucket's largest component are targets; the others are targets and
     queries. Both are dealt to blocks by hash, and each (target block, query block) is compared in a task.
     """
-    rows = stored(_named(buckets.select("key", "c"), found), "near-named")
+    rows = stored(_named(buckets.select("key", "c"), found), f"{run}/named")
     sizes = open_sizes(rows)
     rows = rows.join(sizes, "key").withColumn("out", F.col("comp") != F.col("main")).join(classes.select("c", *SKETCH), "c")
     t_blocks, q_blocks = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("q") / BLOCK).cast("int")
@@ -337,9 +342,9 @@ def _compared(rows: pa.Table, distance: int, percent: int, forests: int) -> Iter
             yield pa.RecordBatch.from_arrays([*ends[:2], pa.array([flag] * len(left)), ends[2]], ["a", "b", "held", "key"])
 
 
-def pivot_pairs(buckets: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+def pivot_pairs(buckets: DataFrame, found: DataFrame, turn: int, run: str = "near") -> DataFrame:
     """In every bucket of several components, one member drawn by hash (a) with each member of another component (b)."""
-    rows = stored(_named(buckets.select("key", "c"), found), "near-named")
+    rows = stored(_named(buckets.select("key", "c"), found), f"{run}/named")
     drawn = F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "comp"))
     pivots = rows.groupBy("key").agg(drawn.alias("_p"), F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y")
     pivots = pivots.select("key", F.col("_p.c").alias("a"), F.col("_p.comp").alias("_comp"))
@@ -378,55 +383,57 @@ def near_copies(
     ``stays`` marks the one document of a component that is kept; rows that repeat it whole are marked too.
     """
     distance = distance_for(percent / 100, symbols, miss)
+    spark, run = docs.sparkSession, f"near-{uuid.uuid4().hex}"  # the tables that only this search reads
     text = text_of(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_print"), text.alias("_text"))
     rows = stored(signed(texts, symbols), "near-signatures")
     first = F.min(F.struct(F.col("_id").isNull().alias("_null"), "_id", "_print")).alias("_first")
     classes = rows.where("_size > 0").groupBy("_digest", *SKETCH).agg(first)
-    classes = stored(classes.withColumn("c", F.monotonically_increasing_id()), "near-classes")
+    classes = stored(classes.withColumn("c", F.monotonically_increasing_id()), f"{run}/classes")
 
     found = keyed(classes, distance)
     heads = found.groupBy("key").agg(F.min("c").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
-    buckets = stored(found.join(heads, "key"), "near-buckets")
+    buckets = stored(found.join(heads, "key"), f"{run}/buckets")
     stars = buckets.where("c <> head").select(F.col("head").alias("a"), F.col("c").alias("b")).distinct()
-    stars = stored(within(stars, classes, distance, percent), "near-stars")
+    stars = stored(within(stars, classes, distance, percent), f"{run}/stars")
 
-    closest = stored(_closest(stars), "near-closest")
-    links = stored(confirmed(closest, classes, texts, percent), "near-links")
-    joined = components(links)
-    failed = stored(closest.join(links, ["a", "b"], "left_anti"), "near-refused")
+    closest = stored(_closest(stars), f"{run}/closest")
+    links = stored(confirmed(closest, classes, texts, percent, run), f"{run}/links")
+    joined = components(links, name=f"{run}/rounds")
+    failed = stored(closest.join(links, ["a", "b"], "left_anti"), f"{run}/refused")
     for turn in range(PIVOTS):
         if not copied_much(buckets, joined):
             break
-        near = within(pivot_pairs(buckets, joined, turn), classes, distance, percent)
-        closest = stored(_closest(near).join(failed, ["a", "b"], "left_anti"), "near-closest")
-        more = stored(confirmed(closest, classes, texts, percent), "near-links") if closest.head(1) else None
+        near = within(pivot_pairs(buckets, joined, turn, run), classes, distance, percent)
+        closest = stored(_closest(near).join(failed, ["a", "b"], "left_anti"), f"{run}/closest")
+        more = stored(confirmed(closest, classes, texts, percent, run), f"{run}/links") if closest.head(1) else None
         if more is None or not more.head(1):
             break
         links, failed = links.unionByName(more), failed.unionByName(closest.join(more, ["a", "b"], "left_anti"))
-        joined = components(links)
+        joined = components(links, name=f"{run}/rounds")
     todo, forests = stars.select("a", "b"), 1
     while True:
-        release(docs.sparkSession)
-        opened = stored(open_pairs(buckets, classes, joined, distance, percent, forests), "near-open-pairs")
+        release(spark)
+        opened = stored(open_pairs(buckets, classes, joined, distance, percent, forests, run), f"{run}/open-pairs")
         todo = _across(todo.unionByName(opened.select("a", "b")), joined).join(failed, ["a", "b"], "left_anti")
-        todo = stored(todo, "near-candidates")
-        more = stored(confirmed(todo, classes, texts, percent), "near-links")
+        todo = stored(todo, f"{run}/candidates")
+        more = stored(confirmed(todo, classes, texts, percent, run), f"{run}/links")
         if more.head(1):
             links = links.unionByName(more)
-            joined = components(links)
+            joined = components(links, name=f"{run}/rounds")
         # A bucket whose handed-on pairs all hold has nothing left to join.
-        keys_left = stored(_across(opened.where("held"), joined, "key").select("key").distinct(), "near-keys")
+        keys_left = stored(_across(opened.where("held"), joined, "key").select("key").distinct(), f"{run}/keys")
         if not keys_left.head(1):
             break
-        refused = stored(todo.join(more, ["a", "b"], "left_anti"), "near-refused")
+        refused = stored(todo.join(more, ["a", "b"], "left_anti"), f"{run}/refused")
         failed, buckets = failed.unionByName(refused), buckets.join(keys_left, "key", "left_semi")
         todo, forests = refused.limit(0), 64 * forests
 
-    release(docs.sparkSession)
+    release(spark)
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")
     full = stored(full, "near-members")
+    drop_path(spark, f"{shared_dir(spark).rstrip('/')}/pageflow-{run}")
     smallest = full.groupBy("comp").agg(first).select("comp", F.col("_first._id").alias("component_id"), F.col("_first._print").alias("_p"))
     stays = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_print") == F.col("_p"))
     full = full.join(smallest, "comp").select("_id", "_print", "_size", "component_id", stays.alias("stays"))

@@ -142,7 +142,9 @@ def test_components(spark):
     star = [(1_000, 1_001 + k) for k in range(500)]
     loose = [(rng.randrange(2_000, 2_300), rng.randrange(2_000, 2_300)) for _ in range(150)]
     links = chains + star + loose + [(5, 5), (None, 7), (0, 1)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    table = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.component for r in components(table).collect()}
+    assert got == {r.node: r.component for r in components(table, few=0).collect()}  # spread over tasks
     label = {x: x for a, b in links if a is not None and a != b for x in (a, b)}
     for _ in range(len(label)):
         changed = False
