@@ -56,6 +56,69 @@ def upsert_partition(
     drop_path(spark, stage)
 
 
+def stage_late(
+    spark: SparkSession,
+    path: str,
+    late: DataFrame,
+    dedup_cols: Sequence[str],
+    date_col: str = "file_date",
+    version: str = "ingestion_time",
+) -> str | None:
+    """Writes the merged days of late rows of any days to a table in the shared folder and returns its path.
+
+    The days come from the late rows, one row per day, and prune the stored table to their partitions. Stored rows whose
+    key is not among the late rows keep their place and are not ranked: a semi and an anti join on the late
+    keys tell them apart, where Spark puts a Bloom filter of the late keys before the shuffle by itself. Late rows without a
+    day are an error; without late rows nothing is staged and the result is None.
+    """
+    late = materialize(late)
+    days = [r[0] for r in late.select(F.col(date_col).cast("date")).distinct().collect()]
+    if None in days:
+        raise ValueError("late rows without a day")
+    if not days:
+        return None
+    keys = list(dict.fromkeys([date_col, *dedup_cols]))
+    stored = read_table(spark, path).where(F.col(date_col).isin(days))
+    late_keys = late.select(*[F.col(c).alias(f"_late_{c}") for c in keys]).distinct()
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_late_{c}"))
+    touched = stored.join(late_keys, same, "left_semi")
+    untouched = stored.join(late_keys, same, "left_anti")
+    merged = dedup_latest(touched.unionByName(late), keys, version).unionByName(untouched)
+    stage = scratch_path(spark, "upsert-days")
+    write_table(merged, stage, partition_by=date_col)
+    log.info("merged rows of %d days for %s are in %s", len(days), path, stage)
+    return stage
+
+
+def swap_staged(spark: SparkSession, path: str, stage: str, date_col: str = "file_date") -> None:
+    """Replaces the days of a staged table in the table at ``path``; other days are not touched.
+
+    Safe to repeat: should the job die in between, running it again with the same stage completes it.
+    """
+    write_table(read_table(spark, stage), path, partition_by=date_col, only_partitions=True)
+
+
+def upsert_late(
+    spark: SparkSession,
+    path: str,
+    late: DataFrame,
+    dedup_cols: Sequence[str],
+    date_col: str = "file_date",
+    version: str = "ingestion_time",
+) -> None:
+    """Merges late rows of any number of days into a table and rewrites these days alone.
+
+    Per day and key the newest row stays. Days are staged complete before the first file is replaced (``stage_late``,
+    ``swap_staged``), so no day is ever lost.
+    """
+    stage = stage_late(spark, path, late, dedup_cols, date_col, version)
+    if stage is not None:
+        swap_staged(spark, path, stage, date_col)
+        drop_path(spark, stage)
+
+
 def cluster_rewrite(
     spark: SparkSession,
     path: str,

@@ -237,6 +237,17 @@ newest as (
     select *, row_number() over (
       partition by page_title, domain_code, namespace, file_time
       order by ingestion_time desc, count_views desc) as rn from both_parts) where rn = 1)"""
+LATE_DAYS = """base as (select * from silver where not (day(file_date) % 3 = 0 and file_time >= '18:00:00')),
+late as (
+  select * replace (count_views + 1 as count_views, ingestion_time + interval 1 day as ingestion_time)
+  from silver where day(file_date) % 3 = 0 and file_time >= '12:00:00'),
+both_parts as (
+  select * from base where day(file_date) % 3 = 0 and file_time >= '12:00:00' union all by name select * from late),
+newest as (
+  select * exclude (rn) from (
+    select *, row_number() over (
+      partition by file_date, page_title, domain_code, namespace, file_time
+      order by ingestion_time desc, count_views desc) as rn from both_parts) where rn = 1)"""
 STAMP = "strftime(ingestion_time, '%Y-%m-%d %H:%M:%S') as ingestion_time"
 
 BOX = f"""long as (
@@ -254,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "bronze_ingest": f"with {PV} {BRONZE}",
         "bronze_parse_lines": f"with {PV} {BRONZE}",
+        "ledger_ingest": f"with {PV} {BRONZE}",
         "bronze_file_filter": f"""with {PV}, {NAMED_FILES}
             select source_file, count(*) as n_rows from named where source_file like 'pageviews-%' group by all""",
         "bronze_file_timestamp": f"""with {PV}, {NAMED_FILES}
@@ -358,6 +370,13 @@ def oracle_sql() -> dict[str, str]:
         "page_rank_daily": f"with {SILVER}, {RANKED} select dt, language, database_name, page_title, views_page, rank from ranked",
         "top_pages_daily": f"""with {SILVER}, {RANKED}
             select dt, language, database_name, page_title, views_page, rank from ranked where rank <= 3""",
+        "top_pages_bounded": f"""with {SILVER}, {RANKED}
+            select dt, language, database_name, page_title, views_page, rank from ranked where rank <= 3""",
+        "top_pages_of_day": f"""with {SILVER}, pages as (
+              select file_date as dt, page_title, cast(sum(count_views) as bigint) as views_page from silver group by all)
+            select * from (
+              select *, row_number() over (partition by dt order by views_page desc, page_title) as rank from pages)
+            where rank <= 25""",
         "dau_share": f"""with {SILVER}, {SHARES}
             select file_date, language, "DAU", "DAU_total", {_r('"DAU_pct"')} as "DAU_pct" from shares""",
         "dau_share_one_vs_rest": f"""with {SILVER}, {SHARES}
@@ -434,6 +453,9 @@ def oracle_sql() -> dict[str, str]:
         "late_upsert": f"""with {SILVER}, {LATE}
             select {SILVER_LIST}, {STAMP} from base where file_date <> date '{LATE_DAY}'
             union all select {SILVER_LIST}, {STAMP} from newest""",
+        "late_upsert_days": f"""with {SILVER}, {LATE_DAYS}
+            select {SILVER_LIST}, {STAMP} from base where not (day(file_date) % 3 = 0 and file_time >= '12:00:00')
+            union all select {SILVER_LIST}, {STAMP} from newest""",
         "cluster_rewrite": f"with {SILVER} select {SILVER_LIST} from silver",
         "cluster_rewrite_range": f"with {SILVER} select {SILVER_LIST} from silver",
         "sample_fraction": f"""with {SILVER}

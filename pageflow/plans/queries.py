@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from pageflow.functions.fixed_values import ENTITY_KEYS, SEARCH_ROWS
 from pageflow.functions.running import scratch_path
-from pageflow.operators import cleaning, dailyuniques, explore, features, kpis, maintenance, metrics, modeling, profiles, sampling
+from pageflow.operators import cleaning, dailyuniques, explore, features, kpis, maintenance, metrics, modeling, profiles, sampling, topn
 from pageflow.plans import churn
 from pageflow.plans.fixtures import (
     LANGUAGES,
@@ -31,7 +31,7 @@ from pageflow.plans.fixtures import (
     page_log,
     silver_log,
 )
-from pageflow.sources import landing, raw, tables
+from pageflow.sources import landing, ledger, raw, tables
 
 SECOND_BATCH = datetime.date(2024, 1, 16)  # from this day on, days are written by a later run
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,6 +298,31 @@ def late_upsert(spark, sf_dir):
     return _stamped(tables.read_table(spark, path, rows.schema), *SILVER_COLUMNS)
 
 
+def late_upsert_days(spark, sf_dir):
+    """The evenings of every third day have not arrived; the second halves of these days then come in at once, corrected."""
+    rows = cleaning.silver(page_log(spark, sf_dir)).select(*SILVER_COLUMNS, "ingestion_time")
+    of_days = F.dayofmonth("file_date") % 3 == 0
+    path = scratch_path(spark, "upsert")
+    tables.write_table(rows.where(~(of_days & (F.col("file_time") >= "18:00:00"))), path)
+    late = rows.where(of_days & (F.col("file_time") >= "12:00:00")).withColumns(
+        {"count_views": F.col("count_views") + 1, "ingestion_time": F.expr("ingestion_time + interval 1 day")}
+    )
+    keys = ["page_title", "domain_code", "namespace", "file_time"]
+    maintenance.upsert_late(spark, path, late, keys)
+    return _stamped(tables.read_table(spark, path, rows.schema), *SILVER_COLUMNS)
+
+
+def ledger_ingest(spark, sf_dir):
+    """Files of the first half of the month land and are taken; all others land then, and a third run finds nothing."""
+    log = page_log(spark, sf_dir)
+    path, ledger_path = scratch_path(spark, "bronze"), scratch_path(spark, "ledger")
+    for part in (F.col("file_date") < F.lit(SECOND_BATCH), F.col("file_date") >= F.lit(SECOND_BATCH)):
+        folder = land_raw_files(spark, log_lines(log.where(part)))
+        for _ in range(2):
+            ledger.take_new_files(spark, folder, path, ledger_path)
+    return ledger.committed_rows(spark, path, ledger_path).select(*RAW_COLUMNS)
+
+
 def _clustered(*by: str) -> Query:
     def query(spark, sf_dir):
         rows = silver_log(spark, sf_dir)
@@ -439,6 +464,7 @@ def queries() -> dict[str, Query]:
         "link_harvest": link_harvest,
         "pending_files": pending_files,
         "landing_inventory": landing_inventory,
+        "ledger_ingest": ledger_ingest,
         "set_row_counts": set_row_counts,
         "quality_checks": quality_checks,
         "quality_report": quality_report,
@@ -464,6 +490,8 @@ def queries() -> dict[str, Query]:
         "top_n_share": _of_silver(kpis.top_n_share, (2, 5, 10, 100)),
         "page_rank_daily": _of_silver(kpis.page_rank),
         "top_pages_daily": _of_silver(kpis.page_rank, 3),
+        "top_pages_bounded": _of_silver(topn.top_pages, 3),
+        "top_pages_of_day": _of_silver(topn.top_pages, 25, by=()),
         "dau_share": _of_silver(kpis.dau_share),
         "dau_share_one_vs_rest": dau_share_one_vs_rest,
         "hourly_profile": _of_silver(profiles.hourly_profile),
@@ -490,6 +518,7 @@ def queries() -> dict[str, Query]:
         "feature_box_stats": _of_churn(explore.feature_box_stats, kind="full"),
         "dedup_latest": dedup_latest,
         "late_upsert": late_upsert,
+        "late_upsert_days": late_upsert_days,
         "cluster_rewrite": _clustered("count_views", "page_title"),
         "cluster_rewrite_range": _clustered("page_title", "count_views"),
         "sample_fraction": _of_silver(sampling.sample_fraction, 0.05, EVENT_KEY),

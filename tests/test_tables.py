@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import scratch_path
-from pageflow.operators.maintenance import cluster_rewrite, upsert_partition
+from pageflow.operators.maintenance import cluster_rewrite, stage_late, swap_staged, upsert_late, upsert_partition
 from pageflow.plans.fixtures import LATE_DAY, silver_log
 from pageflow.sources import landing, tables
 from pageflow.sources.session import create_spark
@@ -75,6 +76,67 @@ def test_upsert_refuses_other_days(spark, table):
     assert content(tables.read_table(spark, path, rows.schema)) == before
 
 
+def late_of(spark, rows, days):
+    late = rows.where(F.col("file_date").isin(days)).withColumns(
+        {"count_views": F.col("count_views") + 1, "ingestion_time": F.lit(2)}
+    )
+    arrived = scratch_path(spark, "late")
+    tables.write_table(late, arrived)
+    return tables.read_table(spark, arrived)
+
+
+def files_of(path):
+    """Content of the data files of every day."""
+    return {day.name: sorted(f.read_bytes() for f in day.glob("*.parquet")) for day in Path(path).glob("file_date=*")}
+
+
+def test_upsert_of_many_days(spark, table):
+    """The same as one call per day; untouched days keep their very files; a key that only one side has stays."""
+    path, rows = table
+    days = [DAY, DAY + datetime.timedelta(3), DAY + datetime.timedelta(9)]
+    late = late_of(spark, rows, days).where(F.col("file_time") >= "12:00:00")
+    new = late.limit(1).withColumn("page_title", F.lit("brand new"))
+    late = late.unionByName(new.withColumn("file_date", F.lit(datetime.date(2030, 1, 1))))
+    single = scratch_path(spark, "single")
+    tables.write_table(rows.dropDuplicates([*KEYS, "file_date"]), single)
+    many = scratch_path(spark, "many")
+    tables.write_table(tables.read_table(spark, single, rows.schema), many)
+    before = files_of(many)
+    for day in days:
+        upsert_partition(spark, single, late.where(F.col("file_date") == F.lit(day)), day, KEYS)
+    upsert_late(spark, many, late, KEYS)
+    for p in (single, many):
+        spark.catalog.refreshByPath(p)
+    after = tables.read_table(spark, many, rows.schema)
+    assert content(after.where("file_date < '2030-01-01'")) == content(tables.read_table(spark, single, rows.schema))
+    assert [r.page_title for r in after.where("file_date >= '2030-01-01'").collect()] == ["brand new"]
+    touched = {f"file_date={d}" for d in days}
+    assert {k: v for k, v in files_of(many).items() if k in before and k not in touched} == {k: v for k, v in before.items() if k not in touched}
+
+
+def test_upsert_survives_a_crash_between_stage_and_swap(spark, table):
+    path, rows = table
+    before = content(rows)
+    late = late_of(spark, rows, [DAY, DAY + datetime.timedelta(1)])
+    stage = stage_late(spark, path, late, KEYS)
+    assert content(tables.read_table(spark, path, rows.schema)) == before
+    states = []
+    for _ in range(2):  # the swap may be run again
+        swap_staged(spark, path, stage)
+        spark.catalog.refreshByPath(path)
+        states.append(content(tables.read_table(spark, path, rows.schema)))
+    assert states[0] == states[1] != before
+
+
+def test_upsert_of_odd_rows(spark, table):
+    path, rows = table
+    before = content(rows)
+    upsert_late(spark, path, rows.where("false"), KEYS)
+    assert content(tables.read_table(spark, path, rows.schema)) == before
+    with pytest.raises(ValueError, match="without a day"):
+        upsert_late(spark, path, rows.limit(1).withColumn("file_date", F.lit(None).cast("date")), KEYS)
+
+
 def test_clustering_keeps_rows_and_narrows_files(spark):
     # One title holds a third of the rows.
     rows = spark.range(30_000).select(
