@@ -32,8 +32,8 @@ def skewed(spark):
     return materialize(rows)
 
 
-@pytest.mark.parametrize("n", [1, 3, 40, 500])
-@pytest.mark.parametrize("bins", [1, 7, 4096])
+@pytest.mark.parametrize("n", [3, 500])
+@pytest.mark.parametrize("bins", [7, 4096])
 def test_equals_the_plain_ranking(skewed, n, bins):
     assert rows_of(topn.top_pages(skewed, n, bins=bins)) == rows_of(kpis.page_rank(skewed, n))
 
