@@ -104,32 +104,62 @@ def churn_datasets(
     features: str = "core",
     frame: str = "rows",
 ) -> DataFrame:
+    full = _is_full(features)
+    summed = [F.sum("count_views").alias("_v")]
+    if full:
+        summed.append(F.max(time_number(F.col("file_time"))).alias("_time"))
+    daily = _needed(df, windows).groupBy(*key_cols, *(["domain_code"] if full else []), DAY).agg(*summed)
+    return _sets(daily, windows, key_cols, full, frame)
+
+
+def sets_of_days(
+    states: DataFrame,
+    windows: Mapping[str, Windows],
+    key_cols: Sequence[str] = ENTITY_KEYS,
+    features: str = "core",
+    frame: str = "rows",
+    arranged: bool = False,
+) -> DataFrame:
+    """The sets from rows per entity, domain code and day (views ``_v``, last time ``_time``).
+
+    ``arranged`` says that the rows lie by entity already, as those of a bucketed table do.
+    """
+    full = _is_full(features)
+    daily = _needed(states, windows)
+    if not full:
+        daily = daily.groupBy(*key_cols, DAY).agg(F.sum("_v").alias("_v"))
+    return _sets(daily, windows, key_cols, full, frame, arranged)
+
+
+def _is_full(features: str) -> bool:
     if features not in ("core", "full"):
         raise ValueError(f"features must be 'core' or 'full', not {features!r}")
-    full = features == "full"
-    keys = list(key_cols)
-    day = F.col(DAY)
+    return features == "full"
+
 
+def _needed(df: DataFrame, windows: Mapping[str, Windows]) -> DataFrame:
+    """The rows of days in any window."""
+    day = F.col(DAY)
     needed = F.lit(False)
     for w in windows.values():
         needed = needed | w.observed(day) | w.labelled(day)
     # The envelope repeats what "needed" implies, in the plain form that prunes partitions.
     first, last = min(w.obs_start for w in windows.values()), max(w.lbl_end for w in windows.values())
-    rows = df.where(day.between(F.lit(first), F.lit(last)) & needed)
+    return df.where(day.between(F.lit(first), F.lit(last)) & needed)
 
-    summed = [F.sum("count_views").alias("_v")]
-    if full:
-        summed.append(F.max(time_number(F.col("file_time"))).alias("_time"))
-    daily = rows.groupBy(*keys, *(["domain_code"] if full else []), DAY).agg(*summed)
 
+def _sets(
+    daily: DataFrame, windows: Mapping[str, Windows], key_cols: Sequence[str], full: bool, frame: str, arranged: bool = False
+) -> DataFrame:
+    keys = list(key_cols)
     tagged = _tag_sets(daily, windows)
     entity = [SET_NAME, *keys]
     if full:
-        tagged = _fold_domains(tagged, entity)
+        tagged = _fold_domains(tagged, entity, arranged)
     by_entity = Window.partitionBy(*entity)
     sums = [3, 7] if full else [3]
     rolled = tagged.withColumns(
-        {f"_sum_{n}d": F.sum("_v").over(last_days(by_entity, n, day, frame)) for n in sums}
+        {f"_sum_{n}d": F.sum("_v").over(last_days(by_entity, n, F.col(DAY), frame)) for n in sums}
     )
     return _summarize(rolled, entity, sums, full).select(
         SET_NAME, *keys, *(FULL_COLUMNS if full else CORE_COLUMNS)
@@ -157,18 +187,19 @@ def _tag_sets(daily: DataFrame, windows: Mapping[str, Windows]) -> DataFrame:
     return tagged.select(*daily.columns, "_tag.*")
 
 
-def _fold_domains(tagged: DataFrame, entity: Sequence[str]) -> DataFrame:
+def _fold_domains(tagged: DataFrame, entity: Sequence[str], arranged: bool = False) -> DataFrame:
     """From rows per domain code and day to rows per day, keeping what the entropy needs.
 
-    The explicit repartition by entity serves all later windows and aggregations of the plan. Each
-    code's total is added on one of its rows only, so that the sums over days are right.
+    The explicit repartition by entity serves all later windows and aggregations of the plan; rows that are
+    ``arranged`` by entity need none. Each code's total is added on one of its rows only, so that the
+    sums over days are right.
     """
     in_code = Window.partitionBy(*entity, "domain_code").orderBy(DAY)
     whole_code = in_code.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     views = F.when(_is_observed(), F.col("_v"))
+    placed = tagged if arranged else tagged.repartition(*[F.col(c) for c in entity])
     return (
-        tagged.repartition(*[F.col(c) for c in entity])
-        .withColumns(
+        placed.withColumns(
             {
                 "_code_total": F.sum(views).over(whole_code),
                 "_is_first": _is_observed() & (F.row_number().over(in_code) == 1),

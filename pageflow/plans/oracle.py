@@ -262,7 +262,7 @@ quarts as (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
         "bronze_ingest": f"with {PV} {BRONZE}",
         "bronze_parse_lines": f"with {PV} {BRONZE}",
         "ledger_ingest": f"with {PV} {BRONZE}",
@@ -277,6 +277,9 @@ def oracle_sql() -> dict[str, str]:
         "language_split": f"""with {SILVER}
             select {SILVER_LIST} from silver where language in ({_quoted(CHOSEN)})""",
         "link_harvest": f"with {LINKS} select page_id, url, link from links",
+        "link_addresses": f"""select page_id, link,
+              case when link like '/%' then regexp_extract(url, '^[a-z]+://[^/]+') || link else link end as address
+            from (select page_id, url, replace(unnest(regexp_extract_all(html, '{HREF}', 1)), '&amp;', '&') as link from pages)""",
         "pending_files": f"""with {LINKS}
             select distinct link from links where link not in (select link from links where url like '%/en/%')""",
         "landing_inventory": f"""with {PV}
@@ -520,3 +523,5 @@ def oracle_sql() -> dict[str, str]:
               {_r('sum(recall * support) / sum(support)')}, {_r('sum(f1 * support) / sum(support)')},
               cast(sum(support) as bigint) from measured""",
     }
+    # The same sets by way of a stored table of entity days.
+    return sql | {"train_test_sets_of_states": sql["train_test_sets"], "churn_dataset_full_of_states": sql["churn_dataset_full"]}

@@ -7,6 +7,7 @@ SQL in ``pageflow.plans.oracle``; the operators themselves do not round.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from pageflow.functions.fixed_values import ENTITY_KEYS, SEARCH_ROWS
-from pageflow.functions.running import scratch_path
+from pageflow.functions.running import materialize, scratch_path
 from pageflow.operators import cleaning, dailyuniques, explore, features, kpis, maintenance, metrics, modeling, profiles, sampling, topn
-from pageflow.plans import churn
+from pageflow.plans import churn, states
 from pageflow.plans.fixtures import (
     LANGUAGES,
     LATE_DAY,
@@ -31,7 +32,7 @@ from pageflow.plans.fixtures import (
     page_log,
     silver_log,
 )
-from pageflow.sources import landing, ledger, raw, tables
+from pageflow.sources import landing, ledger, links, raw, tables
 
 SECOND_BATCH = datetime.date(2024, 1, 16)  # from this day on, days are written by a later run
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,9 +119,14 @@ def link_harvest(spark, sf_dir):
     return _links(spark, sf_dir)
 
 
+def link_addresses(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return links.anchors(pages.select("page_id", "url", "html"), url="url").select("page_id", "link", "address")
+
+
 def pending_files(spark, sf_dir):
-    links = _links(spark, sf_dir)
-    return landing.pending_files(links, links.where(F.col("url").contains("/en/")))
+    found = _links(spark, sf_dir)
+    return landing.pending_files(found, found.where(F.col("url").contains("/en/")))
 
 
 def landing_inventory(spark, sf_dir):
@@ -271,6 +277,30 @@ def train_test_sets(spark, sf_dir):
     return rounded(churn.train_test_sets(silver_log(spark, sf_dir), TRAIN, TEST))
 
 
+def _of_states(spark, parts: list[DataFrame], windows, kind: str) -> DataFrame:
+    """The sets from a table of entity days written from the first views, days of later views merged in."""
+    name, path, buckets = f"states_{uuid.uuid4().hex}", scratch_path(spark, "states"), 8
+    states.create_table(states.entity_days(parts[0]), name, path, buckets)
+    for views in parts[1:]:
+        late = states.entity_days(views)
+        old = spark.table(name).join(late.select("file_date").distinct(), "file_date", "left_semi")
+        both = materialize(states.merged(old.select(*late.columns), late))
+        states.replace_days(both, name, buckets)
+    result = materialize(rounded(states.churn_sets(spark, name, windows, features=kind)))
+    spark.sql(f"drop table {name}")
+    tables.drop_path(spark, path)
+    return result
+
+
+def train_test_sets_of_states(spark, sf_dir):
+    return _of_states(spark, [silver_log(spark, sf_dir)], {"train": TRAIN, "test": TEST}, "core")
+
+
+def churn_dataset_full_of_states(spark, sf_dir):
+    views, evening = silver_log(spark, sf_dir), F.col("file_time") >= "18:00:00"
+    return _of_states(spark, [views.where(~evening), views.where(evening)], {"train": TRAIN}, "full").drop("set_name")
+
+
 # ---- tables and late data
 
 
@@ -462,6 +492,7 @@ def queries() -> dict[str, Query]:
         "gold_partitioned_roundtrip": gold_partitioned_roundtrip,
         "language_split": language_split,
         "link_harvest": link_harvest,
+        "link_addresses": link_addresses,
         "pending_files": pending_files,
         "landing_inventory": landing_inventory,
         "ledger_ingest": ledger_ingest,
@@ -514,6 +545,8 @@ def queries() -> dict[str, Query]:
         "churn_dataset_core": _of_churn(lambda df: df),
         "churn_dataset_full": _of_churn(lambda df: df, kind="full"),
         "train_test_sets": train_test_sets,
+        "train_test_sets_of_states": train_test_sets_of_states,
+        "churn_dataset_full_of_states": churn_dataset_full_of_states,
         "churn_rate_by_sparsity": _of_churn(explore.churn_rate_by_sparsity),
         "feature_box_stats": _of_churn(explore.feature_box_stats, kind="full"),
         "dedup_latest": dedup_latest,

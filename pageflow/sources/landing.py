@@ -6,20 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.fixed_values import RAW_FILE_GLOB
-
-# Target of an anchor in double or single quotes.
-HREF_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""
+from pageflow.sources.links import anchors
 
 
 def link_harvest(pages: DataFrame, prefix: str, suffix: str, html: str = "html") -> DataFrame:
     """Anchor targets with the given start and end, one row per anchor, next to the other columns."""
-    targets = F.regexp_extract_all(F.col(html), F.lit(HREF_PATTERN), F.lit(1))
     link = F.col("link")
-    return (
-        pages.select(*[c for c in pages.columns if c != html], F.explode(targets).alias("link"))
-        .withColumn("link", F.replace(link, F.lit("&amp;"), F.lit("&")))
-        .where(link.startswith(prefix) & link.endswith(suffix))
-    )
+    return anchors(pages, html).where(link.startswith(prefix) & link.endswith(suffix))
 
 
 def pending_files(links: DataFrame, landed: DataFrame, name: str = "link") -> DataFrame:
