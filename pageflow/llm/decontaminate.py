@@ -199,9 +199,12 @@ def sketch(blocks: DataFrame, weights: np.ndarray, width: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(arrays, ["slot", *columns])
 
     summed = blocks.mapInArrow(run, "slot long, " + ", ".join(f"{c} double" for c in columns))
+    # At most SLOTS rows, whatever the size of the corpus, fetched by one job: an iterator would run one per partition.
+    rows = summed.groupBy("slot").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
     z = np.zeros((SLOTS, width))
-    for r in summed.groupBy("slot").agg(*[F.sum(c).alias(c) for c in columns]).toLocalIterator():
-        z[r[0]] = r[1:]
+    at = rows.column("slot").to_numpy()
+    for k, c in enumerate(columns):
+        z[at, k] = rows.column(c).to_numpy()
     return z
 
 
@@ -463,7 +466,8 @@ def leaks(
         part = search(rows, Items.of(held, weights, table), weights, table, cosine)
         return part if found is None else found.unionByName(part)
 
-    for r in known.orderBy("item", "text").toLocalIterator():
+    # Items are compared one by one, so it does not matter which of them share a block.
+    for r in known.toLocalIterator():
         held.append((r["item"], r["text"]))
         if len(held) == ITEM_BLOCK:
             found, held = searched(found), []
