@@ -127,16 +127,22 @@ def mixing_rates(
     share = np.array([float(weights[d]) for d in domains])
     targets = share / share.sum() * (float(total) if budget is None else float(budget))
     steps = fit_steps(scored, targets, domains, rounds, **bounds)
+    raised = 1.0
     if keep is not None:
-        edges = {k: bounds[k] for k in ("ridge", "most") if k in bounds}
-        for _ in range(RAISES):
-            least = sure_rate(steps, domains.index(keep), **edges)
-            if not 0 < least < 1:
-                break
-            # Rates grow with the targets; a little more, so that the tolerance of the fit is covered.
-            targets = targets * (1 + 1e-4) / least
-            steps = fit_steps(scored, targets, domains, rounds, **bounds)
-    rate = _fold(steps, domains, bounds.get("ridge", 0.0), bounds.get("most"))
+        ridge, most, at = bounds.get("ridge", 0.0), bounds.get("most"), domains.index(keep)
+        least = sure_rate(steps, at, ridge, most)
+        if 0 < least < 1 and not ridge and most is None:
+            # Totals are linear in the rates, so raised rates meet raised targets as closely as before.
+            raised = (1 + 1e-4) / least
+        elif 0 < least < 1:
+            for _ in range(RAISES):
+                # Rates grow with the targets; a little more, so that the tolerance of the fit is covered.
+                targets = targets * (1 + 1e-4) / least
+                steps = fit_steps(scored, targets, domains, rounds, **bounds)
+                least = sure_rate(steps, at, ridge, most)
+                if not 0 < least < 1:
+                    break
+    rate = F.lit(raised) * _fold(steps, domains, bounds.get("ridge", 0.0), bounds.get("most"))
     drawn = F.pmod(F.xxhash64("_id", "_digest", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate") + (drawn < F.col("rate") - F.floor("rate")).cast("int")
     return scored.withColumn("rate", rate).withColumn("copies", copies.cast("int"))
