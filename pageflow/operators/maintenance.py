@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime
+import functools
 import logging
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pageflow.functions.fixed_values import MAX_RECORDS_PER_FILE
 from pageflow.functions.running import materialize, scratch_path
@@ -131,9 +133,11 @@ def cluster_rewrite(
 ) -> None:
     """Writes a copy of a table in few, clustered files, so that scans can skip by min/max.
 
-    Rows are sorted by the columns in turn. All columns take part in the range bounds, so that many
-    rows with one title still spread over several files. ``days`` copies these days (first and last,
-    inclusive) alone. Readers move to the copy when it is complete: plain files offer no safe swap in place.
+    Rows are sorted by the columns in turn, every day on its own, as a file holds one day anyway. A day that fills one
+    file is sorted in one task. Days of more than ``target_bytes`` or ``max_records`` are cut into ranges; all columns take
+    part in the bounds, so that many rows with one title still spread over several files. So a task sorts no more than about
+    one file's rows. ``days`` copies these days (first and last, inclusive) alone. Readers move to the copy when it is
+    complete: plain files offer no safe swap in place.
     """
     if dest.rstrip("/") == path.rstrip("/"):
         raise ValueError("the clustered copy needs a path of its own")
@@ -147,6 +151,18 @@ def cluster_rewrite(
         size = sum(table_bytes(spark, part) for part in parts if path_exists(spark, part))
     order = [date_col, *by]
     rest = [c for c in rows.columns if c not in order]
-    files = max(1, math.ceil(size / target_bytes))
-    placed = rows.repartitionByRange(files, *order, *rest).sortWithinPartitions(*order)
-    write_table(placed, dest, partition_by=date_col, max_records=max_records, rebalance=False)
+    counts = rows.groupBy(F.col(date_col).alias("_day")).agg(F.count("*").alias("_n")).collect()
+    total = sum(r["_n"] for r in counts)
+    files = {r["_day"]: max(math.ceil(size * r["_n"] / total / target_bytes), math.ceil(r["_n"] / max_records)) for r in counts}
+    whole = [day for day, n in files.items() if n == 1]
+    ranges = sum(n for n in files.values() if n > 1)
+    schema = StructType([StructField("_day", rows.schema[date_col].dataType), StructField("_place", LongType())])
+    places = F.broadcast(spark.createDataFrame([(day, place) for place, day in enumerate(whole)], schema))  # a row per day
+    same = rows[date_col].eqNullSafe(places["_day"])
+    parts = []
+    if whole:
+        parts.append(rows.join(places, same).repartitionById(len(whole), F.col("_place").cast("int")).select(*rows.columns))
+    if ranges:
+        parts.append(rows.join(places, same, "left_anti").repartitionByRange(ranges, *order, *rest))
+    placed = functools.reduce(DataFrame.unionByName, parts) if parts else rows
+    write_table(placed.sortWithinPartitions(*order), dest, partition_by=date_col, max_records=max_records, rebalance=False)

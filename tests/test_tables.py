@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections import defaultdict
 from pathlib import Path
 
 import pytest
@@ -179,6 +180,31 @@ def test_clustering_of_days_sizes_files_by_these_days(spark):
     assert after.count() == 3_000 and len(after.inputFiles()) == 2
 
 
+def test_clustering_sorts_no_more_than_a_file_in_a_task(spark):
+    """Days of any size, one of them NULL: a small day is one file, a large one is cut at the records of a file."""
+    rows = spark.range(12_000).select(
+        F.when(F.col("id") >= 6_000, F.lit(DAY).cast("date")).when(F.col("id") >= 500, F.date_add(F.lit(DAY), (F.col("id") % 5 + 1).cast("int"))).alias("file_date"),
+        F.md5(F.col("id").cast("string")).alias("page_title"),
+        F.col("id").alias("count_views"),
+    )
+    path = scratch_path(spark, "flat")
+    tables.write_table(rows, path)
+    for max_records, tasks in ((1_000_000, 7), (2_000, 9)):
+        dest = scratch_path(spark, "clustered")
+        cluster_rewrite(spark, path, dest, max_records=max_records)
+        after = tables.read_table(spark, dest)
+        assert content(after) == content(tables.read_table(spark, path))
+        by_task = defaultdict(list)
+        for r in after.select("_metadata.file_name", "file_date", "page_title").collect():
+            by_task[r.file_name.split("-")[1]].append(r)
+        assert len(by_task) == tasks
+        assert all(len({r.file_date for r in held}) == 1 for held in by_task.values())
+        assert max_records > 6_000 or max(map(len, by_task.values())) < 3_000
+        if max_records > 6_000:
+            assert len(after.inputFiles()) == tasks
+            assert all([r.page_title for r in held] == sorted(r.page_title for r in held) for held in by_task.values())
+
+
 def test_language_tables_are_pruned(spark, table):
     _, rows = table
     parts = tables.split_by_language(rows, ["English", "Italian"], scratch_path(spark, "languages"))
