@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import bytes_of, slices, text_of
+from pageflow.llm.common import bytes_of, release, slices, text_of
 from pageflow.llm.words import LOWER, mix, word_hashes, word_spans
 
 SAMPLE_ROWS = 12_000
@@ -148,10 +148,18 @@ def fit(
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     sample = texts.join(F.broadcast(chosen), "_id")  # at most sample_rows short rows
     sample = sample.groupBy("_id", "_class").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"))
-    rows = _featured(sample, "_text", {"_id": "long", "_class": "string"}, SLOTS).collect()
+    # As Arrow batches, of which the rows are views: objects for all rows would stay in the memory of the driver's Python.
     place = {c: k for k, c in enumerate(classes)}
-    rows = sorted(rows, key=lambda r: r["_id"])
-    return fit_rows([(np.frombuffer(r["slots"], "<i4"), place[r["_class"]]) for r in rows], classes)
+    rows = []
+    for batch in _featured(sample, "_text", {"_id": "long", "_class": "string"}, SLOTS).toArrow().to_batches():
+        data, ends = bytes_of(batch.column("slots"))
+        for k, (row_id, kind) in enumerate(zip(batch.column("_id").to_pylist(), batch.column("_class").to_pylist())):
+            rows.append((row_id, data[ends[k] : ends[k + 1]].view("<i4"), place[kind]))
+    rows.sort(key=lambda r: r[0])
+    model = fit_rows([r[1:] for r in rows], classes)
+    rows.clear()
+    release(docs.sparkSession)
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text: str, keep: dict[str, str], prefix: str = "p_") -> DataFrame:

@@ -38,8 +38,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of finished steps, which it does when the driver collects its garbage."""
+    """Lets Spark drop the shuffle files of finished steps, which it does when the driver collects its garbage.
+
+    The driver gives memory back then, too. Loops of many small jobs call this in each turn: what these leave in the driver
+    is little, but its heap grows by their garbage, a task for each partition, until it is collected whole.
+    """
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import stored
+from pageflow.llm.common import release, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -23,6 +23,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     for _ in range(rounds):
         if _stars(edges):
             break
+        release(links.sparkSession)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

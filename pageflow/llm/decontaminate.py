@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import CHUNK_BYTES, bytes_of, digest_of, slices, stored, text_of
+from pageflow.llm.common import CHUNK_BYTES, bytes_of, digest_of, release, slices, stored, text_of
 from pageflow.llm.words import LETTERS, windows, word_hashes
 
 SLOTS = 1 << 14
@@ -459,6 +459,7 @@ def leaks(
     seen, total = passage_frequencies(blocks)
     weights = floored(term_weights(seen, total), seen, total, known)
     table = projection(*latent(sketch(blocks, weights, RANK + OVERSAMPLE), RANK))
+    release(docs.sparkSession)
     found = None
     held: list[tuple[int, str]] = []
 

@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.llm import classifier
-from pageflow.llm.common import digest_of, stored, text_of
+from pageflow.llm.common import digest_of, release, stored, text_of
 from pageflow.llm.quality import CLASSES, label_classes
 
 RAISES = 8
+# Steps of the fit, a job each, between two collections of the driver's garbage.
+COLLECTED = 8
 
 
 def _fold(steps: list[np.ndarray], domains: list[str], ridge: float, most: float | None) -> Column:
@@ -80,7 +82,9 @@ def fit_steps(
     m = np.array([[cells[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
     inverse = np.linalg.pinv(m + damping * m.sum() * np.eye(n), rcond=1e-12, hermitian=True)
     steps: list[np.ndarray] = []
-    for _ in range(rounds):
+    for turn in range(rounds):
+        if turn % COLLECTED == COLLECTED - 1:
+            release(rows.sparkSession)
         rate = _fold(steps, domains, ridge, most)
         sums = rows.select("words", *p, rate.alias("_r")).agg(*[F.sum(F.col("words") * F.col("_r") * q).alias(d) for q, d in zip(p, domains)])
         totals = np.array([sums.first()[d] or 0.0 for d in domains])

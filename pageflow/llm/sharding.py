@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import running_totals
-from pageflow.llm.common import stored, text_of, unused
+from pageflow.llm.common import release, stored, text_of, unused
 
 OVERHEAD = 8
 
@@ -32,6 +32,7 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
     for turn in range(rounds):
         tally = labels.groupBy("_hub", "_shard").agg(F.count("*").alias("_votes"))
         tally = stored(tally, "shard-tally")
+        release(members.sparkSession)
         held = {r["_shard"]: r["n"] for r in tally.groupBy("_shard").agg(F.sum("_votes").alias("n")).collect()}
         room = {s: max(0.0, quota - held.get(s, 0)) for s in range(shards)}
         rooms = F.create_map(*[F.lit(x) for s in room for x in (s, room[s])])

@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pageflow.llm import nearcopies, words
+from pageflow.llm import classifier, nearcopies, words
+from pageflow.llm import components as components_module
 from pageflow.llm.common import bytes_of
 from pageflow.llm.components import components
 
@@ -168,3 +169,21 @@ def test_words_are_those_of_the_rule():
     runs, offsets = words.windows(hashes, before, 3)
     assert np.diff(offsets).tolist() == [max(1, len(w) - 2) if w else 0 for w in want]
     assert runs[0] == runs[offsets[5]]
+
+
+def test_rounds_and_fit_leave_the_driver_little(spark, documents, monkeypatch):
+    """Each round of components lets the driver collect its garbage; the labelled sample comes as Arrow, not as row objects."""
+    turns = []
+    monkeypatch.setattr(components_module, "release", turns.append, raising=False)
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    assert {tuple(r) for r in components_module.components(chain).collect()} == {(k, 0) for k in range(41)}
+    assert len(turns) >= 3
+    rows = [(k, f"word{k % 2} text {k}") for k in range(80)]
+    labels = spark.createDataFrame([(k, "ab"[k % 2]) for k in range(80)], "doc_id long, class string")
+    docs, collected = documents(rows), []
+    kind = type(docs)
+    plain = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: collected.append(self.columns) or plain(self))
+    model = classifier.fit(docs, labels, ["a", "b"])
+    assert not [c for c in collected if "slots" in c]
+    assert model.weights.any() and np.isfinite(model.weights).all()
