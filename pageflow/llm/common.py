@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pageflow.functions.running import scratch_path
 
 CHUNK_BYTES = 2 << 20
+# Documents, or rows that stand for some, of which a table that is stored between steps has one file.
+TASK_ROWS = 4_096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(rows: int) -> int:
+    """Tasks that write what follows from so many documents.
+
+    For ``coalesce`` before ``stored``: with many shuffle partitions a small table would get a file from each of them, and every file
+    costs its task more than the rows do; on a local file system Hadoop even starts a process for each, next to an executor's memory.
+    Tables with more rows than partitions of this size keep their partitions.
+    """
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished steps, which it does when the driver collects its garbage.
 

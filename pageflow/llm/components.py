@@ -2,16 +2,23 @@
 
 Each step gives every node the smallest node it is linked with, using one aggregation (combined inside
 tasks, so a node with very many links is no hot spot) and one equal join. The number of rounds grows with
-the logarithm of the longest chain.
+the logarithm of the longest chain. ``components_by_parts`` first lets every task turn the links it reads into stars, ``PART``
+links at a time; where no more than ``PART`` links are left, one more pass of this kind over them ends the search without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.llm.common import release, stored
 
+# Links of which one task makes stars at once, two numbers each.
+PART = 20_000
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """``node`` and the smallest node of its component, ``component``, for all nodes with links to others.
@@ -40,6 +47,54 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     )
 
 
+def components_by_parts(links: DataFrame) -> DataFrame:
+    """As ``components`` of the links (a, b)."""
+    ends = links.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v")
+    edges = stored(contracted(ends), "links")
+    if edges.count() > PART:
+        return components(edges, "u", "v")
+    few = stored(contracted(edges.coalesce(1), roots=True), "links")
+    return few.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def contracted(edges: DataFrame, roots: bool = False) -> DataFrame:
+    """Links (u, v) that join the same nodes: in every ``PART`` links of a task each node with the smallest of its component.
+
+    The smallest ones get rows of their own with ``roots`` only.
+    """
+    size = PART
+
+    def stars(parent: dict[int, int]) -> pa.RecordBatch:
+        pairs = [(x, _root(parent, x)) for x in parent]
+        pairs = [(x, y) for x, y in pairs if roots or x != y]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+        held = 0
+        for batch in batches:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                if held == size:
+                    yield stars(parent)
+                    parent, held = {}, 0
+                x, y = _root(parent, u), _root(parent, v)
+                parent[max(x, y)] = min(x, y)
+                held += 1
+        if parent:
+            yield stars(parent)
+
+    return edges.mapInArrow(run, "u long, v long")
+
+
+def _root(parent: dict[int, int], x: int) -> int:
+    """The smallest node known to be joined with x; the way there is halved."""
+    parent.setdefault(x, x)
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether every node either points at one node or is pointed at."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))

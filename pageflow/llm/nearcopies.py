@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import bytes_of, release, slices, stored, text_of
-from pageflow.llm.components import components
+from pageflow.llm.common import bytes_of, release, slices, stored, tasks_for, text_of
+from pageflow.llm.components import components_by_parts
 from pageflow.llm.words import keys, mix, windows, word_hashes
 
 RUN = 5
@@ -191,8 +191,11 @@ def within(pairs: DataFrame, classes: DataFrame, distance: int, percent: int) ->
     return pairs.select("a", "b", *columns).mapInArrow(run, "a long, b long, apart long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b), stored and distinct, whose full sets are similar enough. ``texts`` has _id, _print, _text."""
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """The pairs (a, b), stored and distinct, whose full sets are similar enough. ``texts`` has _id, _print, _text.
+
+    The sets are written by so many tasks at most.
+    """
     needed = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     rows = classes.join(needed, "c", "left_semi").select("c", F.col("_first._id").alias("_i"), F.col("_first._print").alias("_p"))
     same = texts["_id"].eqNullSafe(rows["_i"]) & (texts["_print"] == rows["_p"])
@@ -204,7 +207,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: i
                 yield pa.RecordBatch.from_arrays([part.column("c"), pa.array(sets, pa.binary())], ["c", "_set"])
 
     sets = texts.join(rows, same).select("c", "_text").mapInArrow(run, "c long, _set binary").dropDuplicates(["c"])
-    sets = stored(sets, "near-sets")
+    sets = stored(sets.coalesce(tasks), "near-sets")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("_set").alias("_set_a")), "a")
     both = both.join(sets.select(F.col("c").alias("b"), F.col("_set").alias("_set_b")), "b")
 
@@ -381,55 +384,60 @@ def near_copies(
     text = text_of(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_print"), text.alias("_text"))
     rows = stored(signed(texts, symbols), "near-signatures")
+    tasks = tasks_for(rows.count())
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return stored(df.coalesce(tasks), f"near-{name}")
+
     first = F.min(F.struct(F.col("_id").isNull().alias("_null"), "_id", "_print")).alias("_first")
     classes = rows.where("_size > 0").groupBy("_digest", *SKETCH).agg(first)
-    classes = stored(classes.withColumn("c", F.monotonically_increasing_id()), "near-classes")
+    classes = kept(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
 
     found = keyed(classes, distance)
     heads = found.groupBy("key").agg(F.min("c").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
-    buckets = stored(found.join(heads, "key"), "near-buckets")
+    buckets = kept(found.join(heads, "key"), "buckets")
     stars = buckets.where("c <> head").select(F.col("head").alias("a"), F.col("c").alias("b")).distinct()
-    stars = stored(within(stars, classes, distance, percent), "near-stars")
+    stars = kept(within(stars, classes, distance, percent), "stars")
 
-    closest = stored(_closest(stars), "near-closest")
+    closest = kept(_closest(stars), "closest")
     release(docs.sparkSession)
-    links = stored(confirmed(closest, classes, texts, percent), "near-links")
-    joined = components(links)
-    failed = stored(closest.join(links, ["a", "b"], "left_anti"), "near-refused")
+    links = kept(confirmed(closest, classes, texts, percent, tasks), "links")
+    joined = components_by_parts(links)
+    failed = kept(closest.join(links, ["a", "b"], "left_anti"), "refused")
     for turn in range(PIVOTS):
         if not copied_much(buckets, joined):
             break
         release(docs.sparkSession)
         near = within(pivot_pairs(buckets, joined, turn), classes, distance, percent)
-        closest = stored(_closest(near).join(failed, ["a", "b"], "left_anti"), "near-closest")
-        more = stored(confirmed(closest, classes, texts, percent), "near-links") if closest.head(1) else None
+        closest = kept(_closest(near).join(failed, ["a", "b"], "left_anti"), "closest")
+        more = kept(confirmed(closest, classes, texts, percent, tasks), "links") if closest.head(1) else None
         if more is None or not more.head(1):
             break
         links, failed = links.unionByName(more), failed.unionByName(closest.join(more, ["a", "b"], "left_anti"))
-        joined = components(links)
+        joined = components_by_parts(links)
     todo, forests = stars.select("a", "b"), 1
     while True:
         release(docs.sparkSession)
-        opened = stored(open_pairs(buckets, classes, joined, distance, percent, forests), "near-open-pairs")
+        opened = kept(open_pairs(buckets, classes, joined, distance, percent, forests), "open-pairs")
         todo = _across(todo.unionByName(opened.select("a", "b")), joined).join(failed, ["a", "b"], "left_anti")
-        todo = stored(todo, "near-candidates")
+        todo = kept(todo, "candidates")
         release(docs.sparkSession)
-        more = stored(confirmed(todo, classes, texts, percent), "near-links")
+        more = kept(confirmed(todo, classes, texts, percent, tasks), "links")
         if more.head(1):
             links = links.unionByName(more)
-            joined = components(links)
+            joined = components_by_parts(links)
         # A bucket whose handed-on pairs all hold has nothing left to join.
-        keys_left = stored(_across(opened.where("held"), joined, "key").select("key").distinct(), "near-keys")
+        keys_left = kept(_across(opened.where("held"), joined, "key").select("key").distinct(), "keys")
         if not keys_left.head(1):
             break
-        refused = stored(todo.join(more, ["a", "b"], "left_anti"), "near-refused")
+        refused = kept(todo.join(more, ["a", "b"], "left_anti"), "refused")
         failed, buckets = failed.unionByName(refused), buckets.join(keys_left, "key", "left_semi")
         todo, forests = refused.limit(0), 64 * forests
 
     release(docs.sparkSession)
     named = _named(classes.select("c", "_digest"), joined)
     full = rows.where("_size > 0").join(named.select("_digest", "comp"), "_digest").select("_id", "_print", "_size", "comp")
-    full = stored(full, "near-members")
+    full = kept(full, "members")
     smallest = full.groupBy("comp").agg(first).select("comp", F.col("_first._id").alias("component_id"), F.col("_first._print").alias("_p"))
     stays = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_print") == F.col("_p"))
     full = full.join(smallest, "comp").select("_id", "_print", "_size", "component_id", stays.alias("stays"))

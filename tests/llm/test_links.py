@@ -157,6 +157,42 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("part", [16, 20_000])
+def test_few_links_need_no_rounds(spark, monkeypatch, part):
+    tables = []
+    monkeypatch.setattr(components_module, "PART", part)
+    monkeypatch.setattr(components_module, "stored", lambda df, name, f=components_module.stored: tables.append(f(df, name)) or tables[-1])
+    rng = random.Random(3)
+    chain = [(k, k + 1) for k in range(500)]
+    rng.shuffle(chain)
+    got = components_module.components_by_parts(spark.createDataFrame([*chain, (900, 901), (901, 900), (5, 5), (None, 7)], "a long, b long").repartition(8)).collect()
+    assert components_module.components_by_parts(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert sorted(map(tuple, got)) == [(k, 0) for k in range(501)] + [(900, 900), (901, 900)]
+    assert part == 16 or len(tables) == 4 and len(tables[1].inputFiles()) == 1
+
+
+def test_near_copies_store_few_files(spark, documents, monkeypatch):
+    files = {}
+
+    def watched(df, name, f=nearcopies.stored):
+        out = f(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(nearcopies, "stored", watched)
+    rows = list(enumerate(group(random.Random(8), 60, 6)))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = nearcopies.near_copies(documents(rows).coalesce(1), percent=80).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert Counter((r._id, r._size, r.component_id) for r in got) == brute(rows, 80)
+    assert len(files) > 8 and set(files.values()) == {1}
+
+
 def test_words_are_those_of_the_rule():
     texts = ["Ab\x0bc  d\n", "", None, "É é  x\x85y\x1cz", "longerthaneight longerthaneighu", "ab c D", "\t"]
     hashes, before = words.word_hashes(*bytes_of(pa.array(texts)))
