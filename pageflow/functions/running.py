@@ -40,6 +40,7 @@ def running_totals(
     order_by: Sequence[str | Column],
     sums: Mapping[str, str | Column],
     partition_by: Sequence[str] = (),
+    tasks: int | None = None,
 ) -> DataFrame:
     """Adds inclusive running totals (output name -> summand) in the given order, per group.
 
@@ -47,11 +48,12 @@ def running_totals(
     order, so a large group spans many partitions; totals per partition (at most one row for each
     partition and group) give the offsets, and only the rows of a partition are summed in order.
     The ranges come from a sample, hence the rows are written once before they are read twice.
-    The order must be total within a group.
+    The order must be total within a group. ``tasks``, if given, bounds the tasks that write the ranges.
     """
     summed = df.select("*", *[_column(c).alias(f"_of_{name}") for name, c in sums.items()])
     ranged = summed.repartitionByRange(*[F.col(c) for c in partition_by], *order_by)
-    fixed = materialize(ranged.withColumn("_part", F.spark_partition_id()))
+    ranged = ranged.withColumn("_part", F.spark_partition_id())
+    fixed = materialize(ranged if tasks is None else ranged.coalesce(tasks))
 
     per_part = fixed.groupBy(*partition_by, "_part").agg(
         *[F.sum(f"_of_{name}").alias(f"_sum_{name}") for name in sums]

@@ -19,21 +19,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import running_totals
-from pageflow.llm.common import release, stored, text_of, unused
+from pageflow.llm.common import release, stored, tasks_for, text_of, unused
 
 OVERHEAD = 8
 
 
 def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataFrame:
     """Shard for each member (``_row``, ``_hub``): moves towards its hub's shards under quotas of total / shards."""
-    quota = total / shards
+    quota, tasks = total / shards, tasks_for(total)
     labels = members.withColumn("_shard", F.pmod(F.xxhash64("_row", F.lit(1)), F.lit(shards)).cast("int"))
-    labels = stored(labels, "shard-labels")
+    labels = stored(labels.coalesce(tasks), "shard-labels")
     for turn in range(rounds):
         tally = labels.groupBy("_hub", "_shard").agg(F.count("*").alias("_votes"))
-        tally = stored(tally, "shard-tally")
+        tally = stored(tally.coalesce(tasks), "shard-tally")
         release(members.sparkSession)
-        held = {r["_shard"]: r["n"] for r in tally.groupBy("_shard").agg(F.sum("_votes").alias("n")).collect()}
+        held = {r["_shard"]: r["n"] for r in tally.groupBy("_shard").agg(F.sum("_votes").alias("n")).coalesce(1).collect()}
         room = {s: max(0.0, quota - held.get(s, 0)) for s in range(shards)}
         rooms = F.create_map(*[F.lit(x) for s in room for x in (s, room[s])])
         # A hub's homes are as many of its fullest shards as its members fill; where these have no room left,
@@ -57,7 +57,7 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
         away = (F.size("_open") > 0) & ~F.array_contains(F.concat("_main", "_open"), F.col("_shard"))
         asking = tally.join(ranked, "_hub").where(away)
         shares_of = asking.select((F.col("_votes") / F.size("_open")).alias("_n"), F.explode("_open").alias("_to"))
-        demand = {r["_to"]: r["n"] for r in shares_of.groupBy("_to").agg(F.sum("_n").alias("n")).collect()}
+        demand = {r["_to"]: r["n"] for r in shares_of.groupBy("_to").agg(F.sum("_n").alias("n")).coalesce(1).collect()}
         if not demand:
             break
         share = F.create_map(*[F.lit(x) for s in demand for x in (s, min(1.0, max(0.0, room[s] - room[s] ** 0.5) / demand[s]))])
@@ -65,7 +65,8 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
         drawn = F.pmod(F.xxhash64("_row", F.lit(turn + 7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         asked = labels.join(ranked, "_hub").withColumn("_wish", F.when(away, wish))
         granted = F.col("_wish").isNotNull() & (drawn < F.element_at(share, F.col("_wish")))
-        labels = stored(asked.select("_row", "_hub", F.when(granted, F.col("_wish")).otherwise(F.col("_shard")).alias("_shard")), "shard-labels")
+        moved = asked.select("_row", "_hub", F.when(granted, F.col("_wish")).otherwise(F.col("_shard")).alias("_shard"))
+        labels = stored(moved.coalesce(tasks), "shard-labels")
     return labels
 
 
@@ -95,21 +96,22 @@ def balanced_shards(
     )
     rows = stored(rows, "shard-rows")
     total = rows.count()
+    tasks = tasks_for(total)
     hubs = rows.groupBy("_hub").agg(F.count("*").alias("_n")).where("_n > 1").select("_hub")
     labels = propagate(rows.select("_row", "_hub").join(hubs, "_hub", "left_semi"), total, shards, rounds)
-    held = {r["_shard"]: r["n"] for r in labels.groupBy("_shard").agg(F.count("*").alias("n")).collect()}
+    held = {r["_shard"]: r["n"] for r in labels.groupBy("_shard").agg(F.count("*").alias("n")).coalesce(1).collect()}
     # Unlinked rows fill what is left of each shard, in order of their numbers.
     filled, ends = 0, []
     for s in range(shards):
         size = -(-total * (s + 1) // shards) + (-total * s // shards)
         filled += max(0, size - held.get(s, 0))
         ends.append(filled)
-    single = running_totals(rows.join(hubs, "_hub", "left_anti"), ["_row"], {"_place": F.lit(1).cast("long")})
+    single = running_totals(rows.join(hubs, "_hub", "left_anti"), ["_row"], {"_place": F.lit(1).cast("long")}, tasks=tasks)
     free = F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e < F.col("_place"))
     single = single.withColumn("_shard", F.least(F.size(free), F.lit(shards - 1))).drop("_place")
     linked = rows.join(labels.select("_row", "_shard"), "_row").withColumn("_alone", F.lit(False))
     placed = linked.unionByName(single.withColumn("_alone", F.lit(True)))
-    ranked = running_totals(placed, ["_shard", "_alone", "_hub", "_row"], {"_rank": F.lit(1).cast("long")})
+    ranked = running_totals(placed, ["_shard", "_alone", "_hub", "_row"], {"_rank": F.lit(1).cast("long")}, tasks=tasks)
     place = F.col("_rank") - 1
     # Integer arithmetic: shard s holds the places from ceil(s * total / shards) on.
     cut = F.expr(f"(_rank - 1) * {shards}L div {max(total, 1)}L")
@@ -117,7 +119,7 @@ def balanced_shards(
     if carry:
         slots = ranked.select(F.col("_row").alias(number), cut.cast("int").alias("shard"), (place - start).cast("long").alias("slot"))
         return docs.drop("shard", "slot").join(slots, number).drop(number)
-    return ranked.select(
+    return ranked.coalesce(tasks).select(
         F.col("_id").alias(id_col),
         "size",
         "text_crc32",

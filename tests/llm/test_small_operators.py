@@ -133,6 +133,22 @@ def test_shards_are_even_and_keep_groups(documents, odd):
     assert whole.count() == 50 and {"text", "shard", "slot", "_row"} - set(whole.columns) == {"_row"}
 
 
+def test_shards_store_few_files(spark, documents, monkeypatch):
+    files = []
+    monkeypatch.setattr(sharding, "stored", lambda df, name, f=sharding.stored: files.append(f(df, name)) or files[-1])
+    rows = [(k, f"text {k % 60}" if k % 3 else f"own {k}") for k in range(300)]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sharding.balanced_shards(documents(rows).coalesce(1), shards=4, rounds=2)
+        assert got.rdd.getNumPartitions() == 1 and sorted(Counter(r.shard for r in got.collect()).values()) == [75] * 4
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(files) > 3 and {len(x.inputFiles()) for x in files} == {1}
+
+
 def test_permutations_are_bijections():
     for size in (1, 2, 7, 100, 1_000):
         p = pseudonyms.Permutation(b"k", "t", size)
