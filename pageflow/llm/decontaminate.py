@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import CHUNK_BYTES, bytes_of, digest_of, release, slices, stored, text_of
+from pageflow.llm.common import CHUNK_BYTES, bytes_of, digest_of, release, slices, stored, tasks_for, text_of
 from pageflow.llm.words import LETTERS, windows, word_hashes
 
 SLOTS = 1 << 14
@@ -78,7 +78,8 @@ def distinct_blocks(rows: DataFrame) -> DataFrame:
                 found = pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, data])
                 yield pa.RecordBatch.from_arrays([found.unique()], ["slots"])
 
-    return stored(rows.mapInArrow(run, "slots binary").distinct(), "leak-blocks")
+    found = rows.mapInArrow(run, "slots binary").distinct()
+    return stored(found.coalesce(tasks_for(rows.count())), "leak-blocks")
 
 
 def slots_in(batch: pa.RecordBatch):
@@ -458,6 +459,7 @@ def leaks(
     blocks = distinct_blocks(rows.select("_text"))
     seen, total = passage_frequencies(blocks)
     weights = floored(term_weights(seen, total), seen, total, known)
+    release(docs.sparkSession)  # the sketch and its decomposition are what the driver holds most of here
     table = projection(*latent(sketch(blocks, weights, RANK + OVERSAMPLE), RANK))
     release(docs.sparkSession)
     found = None

@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pageflow.llm import classifier, nearcopies, words
+import corpus_pipeline
+from pageflow.llm import classifier, common, nearcopies, words
 from pageflow.llm import components as components_module
 from pageflow.llm.common import bytes_of
 from pageflow.llm.components import components
@@ -223,3 +224,21 @@ def test_rounds_and_fit_leave_the_driver_little(spark, documents, monkeypatch):
     model = classifier.fit(docs, labels, ["a", "b"])
     assert not [c for c in collected if "slots" in c]
     assert model.weights.any() and np.isfinite(model.weights).all()
+
+
+def test_release_trims_the_drivers_native_memory(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(common, "trimmed", lambda s, f=common.trimmed: asked.append(f(s)))
+    common.release(spark)
+    # there from 17.0.9 and 21 on
+    version = [int(x) for x in spark._jvm.System.getProperty("java.version").split("-")[0].split(".")]
+    assert asked == [True] or asked == [False] and version < [21] and not [17, 0, 9] <= version < [18]
+
+
+def test_stages_return_few_files(spark, documents, monkeypatch):
+    wide = corpus_pipeline.in_few_files(lambda s, docs, sf_dir: docs.repartition(32))
+    assert wide(spark, documents([(k, "a") for k in range(40)]), "").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(common, "TASK_ROWS", 10)
+    assert wide(spark, documents([(k, "a") for k in range(40)]), "").rdd.getNumPartitions() == 4
+    monkeypatch.setattr(common, "TASK_ROWS", 1)
+    assert wide(spark, documents([(k, "a") for k in range(40)]), "").rdd.getNumPartitions() == 32
