@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from pageflow.functions.running import scratch_path
 CHUNK_BYTES = 2 << 20
 # Documents, or rows that stand for some, of which a table that is stored between steps has one file.
 TASK_ROWS = 4_096
+# Names and paths of the tables stored inside the innermost ``passing`` of this thread.
+_PASSING: ContextVar[list[tuple[SparkSession, str, str]] | None] = ContextVar("passing", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +40,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (tables := _PASSING.get()) is not None:
+        tables.append((spark, name, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(*last: str):
+    """Removes at its end the tables that are ``stored`` inside it, for which nothing that is returned may read them.
+
+    Those with the names in ``last`` stay, or go with the ``passing`` around this one. Also a decorator of functions.
+    """
+    tables: list[tuple[SparkSession, str, str]] = []
+    around = _PASSING.get()
+    token = _PASSING.set(tables)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        for spark, name, path in tables:
+            if name not in last:
+                remove(spark, path)
+            elif around is not None:
+                around.append((spark, name, path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table in whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def tasks_for(rows: int) -> int:
     """Tasks that write what follows from so many documents.
 
@@ -84,6 +116,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def plain_files(docs: DataFrame) -> bool:
+    """Whether the rows are those of Parquet files as they lie there, each file read once.
+
+    A row's file and its place in it (``_metadata``) then tell it from all others, at every reading.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    found = plan.relation()
+    if found.fileFormat().getClass().getSimpleName() != "ParquetFileFormat" or found.location().getClass().getSimpleName() != "InMemoryFileIndex":
+        return False
+    return found.location().allFiles().size() == len(set(docs.inputFiles()))
+
+
 def unused(taken, stem: str) -> str:
     """A column name that is not taken."""
     return stem if stem not in taken else f"{stem}_{uuid.uuid4().hex[:8]}"

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import bytes_of, release, slices, stored, tasks_for, text_of
+from pageflow.llm.common import bytes_of, passing, release, slices, stored, tasks_for, text_of
 from pageflow.llm.components import components_by_parts
 from pageflow.llm.words import keys, mix, windows, word_hashes
 
@@ -368,6 +368,7 @@ def _across(pairs: DataFrame, found: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+@passing("near-members", "near-empty")
 def near_copies(
     docs: DataFrame,
     percent: int = 85,
@@ -442,4 +443,4 @@ def near_copies(
     stays = F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_print") == F.col("_p"))
     full = full.join(smallest, "comp").select("_id", "_print", "_size", "component_id", stays.alias("stays"))
     empty = rows.where("_size = 0").select("_id", "_print", "_size", F.col("_id").alias("component_id"), F.lit(True).alias("stays"))
-    return full.unionByName(empty)
+    return full.unionByName(kept(empty, "empty"))

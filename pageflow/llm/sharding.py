@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.running import running_totals
-from pageflow.llm.common import release, stored, tasks_for, text_of, unused
+from pageflow.llm.common import passing, plain_files, release, stored, tasks_for, text_of, unused
 
 OVERHEAD = 8
 
@@ -70,6 +70,7 @@ def propagate(members: DataFrame, total: int, shards: int, rounds: int) -> DataF
     return labels
 
 
+@passing("shard-rows", "shard-documents")
 def balanced_shards(
     docs: DataFrame,
     shards: int = 24,
@@ -81,20 +82,28 @@ def balanced_shards(
     """One row per document: id, size, CRC-32 of its text, law, shard, slot, and no shard under growth.
 
     With ``carry`` the documents are returned whole, with ``shard`` and ``slot`` added (and replacing
-    columns of these names).
+    columns of these names). Documents that come from Parquet files as they are get no copy: their rows are found
+    again by file and place. Others are stored with a number first.
     """
     text = text_of(text_col)
-    number = unused(docs.columns, "_row")
-    if carry:
+    number, file, at = (unused(docs.columns, x) for x in ("_row", "_file", "_at"))
+    placed_rows = carry and plain_files(docs)
+    if placed_rows:
+        place = docs.metadataColumn("_metadata")
+        docs = docs.select("*", place["file_path"].alias(file), place["row_index"].alias(at))
+    elif carry:
         docs = stored(docs.withColumn(number, F.monotonically_increasing_id()), "shard-documents")
     rows = docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
         F.unhex(F.md5(text)).alias("_hub"),
-        (F.col(number) if carry else F.monotonically_increasing_id()).alias("_row"),
+        (F.col(number) if carry and not placed_rows else F.monotonically_increasing_id()).alias("_row"),
+        *([F.col(at).alias("_at"), F.col(file).alias("_file")] if placed_rows else []),
     )
     rows = stored(rows, "shard-rows")
+    places = rows.select("_row", "_at", "_file") if placed_rows else None
+    rows = rows.drop("_at", "_file")
     total = rows.count()
     tasks = tasks_for(total)
     hubs = rows.groupBy("_hub").agg(F.count("*").alias("_n")).where("_n > 1").select("_hub")
@@ -112,19 +121,22 @@ def balanced_shards(
     linked = rows.join(labels.select("_row", "_shard"), "_row").withColumn("_alone", F.lit(False))
     placed = linked.unionByName(single.withColumn("_alone", F.lit(True)))
     ranked = running_totals(placed, ["_shard", "_alone", "_hub", "_row"], {"_rank": F.lit(1).cast("long")}, tasks=tasks)
-    place = F.col("_rank") - 1
+    rank = F.col("_rank") - 1
     # Integer arithmetic: shard s holds the places from ceil(s * total / shards) on.
     cut = F.expr(f"(_rank - 1) * {shards}L div {max(total, 1)}L")
     start = F.expr(f"(((_rank - 1) * {shards}L div {max(total, 1)}L) * {max(total, 1)}L + {shards - 1}L) div {shards}L")
     if carry:
-        slots = ranked.select(F.col("_row").alias(number), cut.cast("int").alias("shard"), (place - start).cast("long").alias("slot"))
-        return docs.drop("shard", "slot").join(slots, number).drop(number)
+        slots = ranked.select(F.col("_row").alias(number), cut.cast("int").alias("shard"), (rank - start).cast("long").alias("slot"))
+        if places is None:
+            return docs.drop("shard", "slot").join(slots, number).drop(number)
+        places = places.select(F.col("_row").alias(number), F.col("_at").alias(at), F.col("_file").alias(file))
+        return docs.drop("shard", "slot").join(slots.join(places, number).drop(number), [file, at]).drop(file, at)
     return ranked.coalesce(tasks).select(
         F.col("_id").alias(id_col),
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
         cut.cast("int").alias("shard"),
-        (place - start).cast("long").alias("slot"),
+        (rank - start).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
